@@ -36,6 +36,11 @@ def utc_clock_of(df: DataFrame, name: str) -> Column:
     return utc_clock(found.column(), found.dtype)
 
 
+def instant(clock: Column) -> Column:
+    """A UTC wall clock as zoned timestamp."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), clock))
+
+
 def shift_zone(clock: Column, zone: str, source_zone: str = "UTC") -> Column:
     """A wall clock of ``source_zone`` as wall clock of ``zone``."""
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), clock)

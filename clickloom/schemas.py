@@ -107,13 +107,13 @@ READING_STATS = (
     ("Highest average wind speed", "WDSP", "mph"),
     ("Highest precipitation", "PRCP", "inches"),
 )
-READING_SCHEMA = T.StructType.fromDDL(
+READING_SCHEMA = (
     "STATION STRING, DATE STRING, LATITUDE DOUBLE, LONGITUDE DOUBLE, ELEVATION DOUBLE, "
     "NAME STRING, MAX DOUBLE, TEMP DOUBLE, GUST DOUBLE, WDSP DOUBLE, PRCP DOUBLE"
 )
 
 # The layout of stored metrics.
-METRIC_SCHEMA = T.StructType.fromDDL("metric STRING, value BIGINT")
+METRIC_SCHEMA = "metric STRING, value BIGINT"
 
 # Defaults of the calendar and of the session rule.
 LOCAL_ZONE = "Asia/Seoul"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
+from functools import reduce
 from itertools import product
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,7 +44,7 @@ def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
 
 
 def load_schema(spark: SparkSession, path: str) -> T.StructType:
-    return T.StructType.fromJson(__import__("json").loads(spark.read.text(path).first()[0]))
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
 
 
 def read_events_any_case(spark: SparkSession, path, schema: T.StructType | None = None) -> DataFrame:
@@ -66,10 +69,8 @@ def read_events_any_case(spark: SparkSession, path, schema: T.StructType | None
             here = (*parents, field.name)
             if isinstance(field.dataType, T.StructType):
                 parts = build(field.dataType, here)
-                columns.append(F.when(
-                    F.coalesce(*[p.isNotNull() for p in parts[:1]], F.lit(False))
-                    if len(parts) == 1 else
-                    F.greatest(*[p.isNotNull() for p in parts]), F.struct(*parts)).alias(field.name))
+                found = reduce(or_, [part.isNotNull() for part in parts])
+                columns.append(F.when(found, F.struct(*parts)).alias(field.name))
             else:
                 columns.append(value_of(here, field.dataType).alias(field.name))
         return columns

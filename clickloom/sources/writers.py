@@ -33,7 +33,7 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet", **kwargs) -> i
     return observed.get["rows"]
 
 
-def read_back(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
+def read_back(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json",
               options: dict[str, str] | None = None) -> DataFrame:
     """Read a written table with the schema it was written with.
 

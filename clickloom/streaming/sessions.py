@@ -5,24 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.calendar import instant, utc_clock_of
 from clickloom.functions.paths import quoted
 
 
 def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30,
                     delay: str = "1 hour") -> DataFrame:
-    """``<user>, session_start_at, last_event_at, n_events`` per closed session.
+    """``<user>, session_start_at, last_event_at, n_events`` per closed session, in UTC clock.
 
     Works on streams and on tables. On a stream a session is emitted once the
     watermark (newest event minus ``delay``) has passed its end, so the newest session
     stays open until later events arrive. Events without a time belong to no window.
     The gap is exact here, not floored to whole seconds.
     """
-    moment = F.col(quoted(ts))
-    grouped = events.withWatermark(ts, delay).groupBy(
+    # Watermarks need a zoned timestamp.
+    zoned = events.select(
+        F.col(quoted(user)), instant(utc_clock_of(events, ts)).alias("_moment"))
+    moment = F.col("_moment")
+    grouped = zoned.withWatermark("_moment", delay).groupBy(
         F.col(quoted(user)), F.session_window(moment, f"{gap_minutes} minutes").alias("_session"))
-    return grouped.agg(
-        F.min(moment).alias("session_start_at"), F.max(moment).alias("last_event_at"),
-        F.count(F.lit(1)).alias("n_events")).drop("_session")
+    sessions = grouped.agg(F.min(moment).alias("_first"), F.max(moment).alias("_last"),
+                           F.count(F.lit(1)).alias("n_events"))
+    return sessions.select(
+        F.col(quoted(user)), utc_clock_of(sessions, "_first").alias("session_start_at"),
+        utc_clock_of(sessions, "_last").alias("last_event_at"), "n_events")
 
 
 def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
