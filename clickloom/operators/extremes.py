@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.paths import quoted
+from clickloom.functions.paths import quoted, resolve
 from clickloom.schemas import READING_KEYS, READING_SENTINELS, READING_STATS
 
 
@@ -16,7 +16,8 @@ def is_reading(df: DataFrame, column: str, sentinels: Iterable[float] = READING_
     """True where ``column`` holds a value: not null, not NaN and no sentinel."""
     value = F.col(quoted(column))
     valid = value.isNotNull() & ~value.isin(*sentinels)
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+    found = resolve(df.schema, column)
+    if found and isinstance(found.dtype, (T.DoubleType, T.FloatType)):
         valid = valid & ~F.isnan(value)
     return valid
 

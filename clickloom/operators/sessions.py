@@ -22,7 +22,9 @@ _EXPAND_BLOCK = 65_536
 
 
 def _slot(ts: Column, gap_seconds: int) -> Column:
-    return F.floor(F.unix_timestamp(ts) / F.lit(max(gap_seconds, 1))).cast("bigint")
+    """First second of the slot that ``ts`` falls into."""
+    second = F.unix_timestamp(ts)
+    return second - F.pmod(second, F.lit(max(gap_seconds, 1)))
 
 
 def _gap_seconds(gap_minutes: float) -> int:
@@ -63,13 +65,14 @@ def session_table(df: DataFrame, user: str = "anonymousId", ts: str = "timestamp
     """
     kept = _kept(df, user, ts, drop_null_ts, drop_null_user)
     slots, timeline = _slots_with_starts(kept, user, ts, _gap_seconds(gap_minutes))
+    so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     untimed = F.col("_slot").isNull()
     sessions = slots.filter("_start").select(
         "_user", "_slot", "_rows", F.col("_first").alias("session_start_at"),
-        F.sum(F.when(untimed, F.col("_rows")).otherwise(1)).over(timeline).alias("_number"),
+        F.sum(F.when(untimed, F.col("_rows")).otherwise(1)).over(so_far).alias("_number"),
         F.lead("_first").over(timeline).alias("next_session_start_at"))
     timed = sessions.filter(~untimed)
-    if not drop_null_ts and df.schema[ts].nullable:
+    if not drop_null_ts:
         timed = timed.unionByName(_one_session_per_row(sessions.filter(untimed)))
     return timed.select(
         F.concat(F.col("_user").cast("string"), F.lit("-"), F.col("_number").cast("string"))
@@ -122,7 +125,7 @@ def assign_sessions(df: DataFrame, user: str = "anonymousId", ts: str = "timesta
     assigned = (kept.filter(moment.isNotNull()).withColumn("_slot", _slot(moment, gap))
                 .join(sessions.filter(F.col("_slot_key").isNotNull()), same)
                 .drop("_user", "_slot", "_slot_key"))
-    if not drop_null_ts and df.schema[ts].nullable:
+    if not drop_null_ts:
         untimed = number_rows(kept.filter(moment.isNull()), [user], "session_number")
         assigned = assigned.unionByName(untimed.withColumn("session_start_at", moment))
     return assigned.withColumn("session_id", F.concat(

@@ -13,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Merge a hot user's sessions on the map side before the streaming shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Keeps streaming state on executor disk, so it may exceed the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

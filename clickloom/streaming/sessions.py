@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from clickloom.functions.calendar import instant, utc_clock_of
 from clickloom.functions.paths import quoted
 
+_MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30,
                     delay: str = "1 hour") -> DataFrame:
     """``<user>, session_start_at, last_event_at, n_events`` per closed session, in UTC clock.
 
-    Works on streams and on tables. On a stream a session is emitted once the
-    watermark (newest event minus ``delay``) has passed its end, so the newest session
-    stays open until later events arrive. Events without a time belong to no window.
-    The gap is exact here, not floored to whole seconds.
+    ``events`` is a stream; for a table use :func:`session_table`. A session is emitted
+    once the watermark (newest event minus ``delay``) has passed its end, so the newest
+    session stays open until later events arrive. Events without a time belong to no
+    window. The gap is exact here, not floored to whole seconds.
     """
+    # Each task merges its own sessions before the shuffle: a hot user then sends one
+    # row per session and task instead of one per event.
+    events.sparkSession.conf.set(_MERGE_BEFORE_SHUFFLE, "true")
     # Watermarks need a zoned timestamp.
     zoned = events.select(
         F.col(quoted(user)), instant(utc_clock_of(events, ts)).alias("_moment"))
