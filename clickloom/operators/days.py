@@ -22,15 +22,15 @@ def missing_days(df: DataFrame, keys: Sequence[str] = (), day: str = "day_ms", *
     """Days between ``first`` and ``last`` on which a key has no row.
 
     The bounds default to the key's own first and last day; they may be aggregates
-    over the key's rows or scalar subqueries. The days present are gathered as a set
-    while still on the map side: it holds one entry per calendar day, not per row.
+    over ``day`` or scalar subqueries. Rows are first reduced to distinct (key, day),
+    so the list gathered per key has one entry per calendar day at most.
     """
     column = F.col(quoted(day))
     bounds = [bound if isinstance(bound, Column) else F.lit(bound).cast("bigint")
               for bound in (F.min(column) if first is None else first,
                             F.max(column) if last is None else last)]
-    present = df.filter(column.isNotNull()).groupBy(*keys).agg(
-        F.collect_set(column.cast("bigint")).alias("_present"),
+    present = df.filter(column.isNotNull()).select(*keys, day).distinct().groupBy(*keys).agg(
+        F.collect_list(column.cast("bigint")).alias("_present"),
         bounds[0].alias("_first"), bounds[1].alias("_last"))
     expected = F.when(F.col("_first") <= F.col("_last"),
                       F.sequence(F.col("_first"), F.col("_last"), F.lit(DAY_MS)))

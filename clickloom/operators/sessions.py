@@ -52,32 +52,39 @@ def _slots_with_starts(df: DataFrame, user: str, ts: str, gap: int) -> tuple[Dat
         F.count(F.lit(1)).alias("_rows"))
     timeline = Window.partitionBy("_user").orderBy("_slot")
     idle = F.unix_timestamp("_first") - F.lag(F.unix_timestamp("_last")).over(timeline)
-    return slots.withColumn("_start", F.coalesce(idle > gap, F.lit(True))), timeline
+    marked = slots.withColumn("_idle", idle).withColumn(
+        "_start", F.coalesce(F.col("_idle") > gap, F.lit(True)))
+    return marked, timeline
 
 
 def session_table(df: DataFrame, user: str = "anonymousId", ts: str = "timestamp",
                   gap_minutes: float = SESSION_GAP_MINUTES, *, drop_null_ts: bool = False,
-                  drop_null_user: bool = False) -> DataFrame:
+                  drop_null_user: bool = False, keep_inactivity: bool = False) -> DataFrame:
     """One row per session: ``session_id, <user>, session_start_at, next_session_start_at``.
 
     ``session_id`` is ``<user>-<n>``, null for a null user. Every event without a time
     is a session of its own and numbered first; ``drop_null_ts`` leaves these out.
+    ``keep_inactivity`` adds ``inactivity_time``, the minutes without an event before
+    the session, null for a user's first.
     """
     kept = _kept(df, user, ts, drop_null_ts, drop_null_user)
     slots, timeline = _slots_with_starts(kept, user, ts, _gap_seconds(gap_minutes))
     so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     untimed = F.col("_slot").isNull()
     sessions = slots.filter("_start").select(
-        "_user", "_slot", "_rows", F.col("_first").alias("session_start_at"),
+        "_user", "_slot", "_rows", (F.col("_idle") / 60).alias("inactivity_time"),
+        F.col("_first").alias("session_start_at"),
         F.sum(F.when(untimed, F.col("_rows")).otherwise(1)).over(so_far).alias("_number"),
         F.lead("_first").over(timeline).alias("next_session_start_at"))
     timed = sessions.filter(~untimed)
     if not drop_null_ts:
         timed = timed.unionByName(_one_session_per_row(sessions.filter(untimed)))
-    return timed.select(
+    result = timed.select(
         F.concat(F.col("_user").cast("string"), F.lit("-"), F.col("_number").cast("string"))
         .alias("session_id"),
-        F.col("_user").alias(user), "session_start_at", "next_session_start_at")
+        F.col("_user").alias(user), "session_start_at", "next_session_start_at",
+        "inactivity_time")
+    return result if keep_inactivity else result.drop("inactivity_time")
 
 
 def _one_session_per_row(counted: DataFrame) -> DataFrame:

@@ -14,14 +14,14 @@ from clickloom.operators.reconcile import compare, metric_lines, reconcile
 from clickloom.operators.sessions import assign_sessions, session_table
 from clickloom.plans.daily import daily_load
 from clickloom.plans.tables import day_log, event_log, table
-from clickloom.schemas import METRIC_SCHEMA, event_schema
+from clickloom.schemas import METRIC_SCHEMA
 from clickloom.session import scratch_path
 from clickloom.sources.events import (
     infer_schema, load_schema, metric_preview, not_null_count, read_events, read_events_any_case,
     read_readings, save_schema)
 from clickloom.sources.files import file_inventory, folder_names, folder_volume, last_files, volume
 from clickloom.sources.writers import read_back, write_counted, write_table
-from clickloom.streaming.ingest import ingest_available
+from clickloom.streaming.ingest import ingest_available, read_ingested
 from clickloom.streaming.sessions import stream_sessions, write_available
 
 # The 28 flat columns without the two retained structs.
@@ -328,14 +328,12 @@ def ingest_daily_stream(spark, sf_dir):
     source, target, metrics, checkpoint = (
         scratch_path(spark, f"ingest-{part}") for part in ("in", "out", "metrics", "state"))
     log = day_log(table(spark, sf_dir, "events"))
-    odd = (F.col("day_ms") / 86_400_000).cast("bigint") % 2
-    for delivery in (1, 0):
-        write_table(log.filter(odd == delivery), source, "json", mode="append",
+    is_odd = F.col("day_ms") / 86_400_000 % 2 == 1
+    for delivery in (log.filter(is_odd), log.filter(~is_odd)):
+        write_table(delivery, source, "json", mode="append",
                     partition_by=["source", "day_ms"], rebalance=True)
         ingest_available(spark, f"{source}/*/*", target, metrics, checkpoint)
-    flat = flatten_event(spark.createDataFrame([], event_schema()))
-    loaded = spark.read.schema(flat.schema).parquet(f"{target}/*")
-    return loaded.groupBy("ymd").agg(
+    return read_ingested(spark, target).groupBy("ymd").agg(
         F.count(F.lit(1)).alias("n_events"), F.count_distinct("messageId").alias("n_messages"),
         F.min("timestamp").alias("first_local"), F.max("timestamp").alias("last_local"))
 

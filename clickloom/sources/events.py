@@ -22,6 +22,11 @@ def join_path(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[part.strip("/") for part in parts if part.strip("/")]])
 
 
+def day_paths(root: str, days, source: str = "*") -> list[str]:
+    """The folders ``<root>/<source>/<day>`` of the given epoch-millisecond days."""
+    return [join_path(root, source, str(day)) for day in days]
+
+
 def read_events(spark: SparkSession, path, schema: T.StructType | str | None = None, *,
                 partitions: int | None = None) -> DataFrame:
     """JSON lines, plain or gzip, with the event schema or one of your own.

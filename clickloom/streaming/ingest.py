@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,12 +17,13 @@ from clickloom.sources.writers import read_back, write_table
 def ingest_available(spark: SparkSession, source: str, target: str, metrics: str, checkpoint: str,
                      *, schema: T.StructType | None = None, pk: str = "messageId",
                      transform: Callable[[DataFrame], DataFrame] = flatten_event,
-                     max_files: int | None = None) -> None:
+                     partition_by: Sequence[str] = ("ymd",), max_files: int | None = None) -> None:
     """Load all files below ``source`` that no earlier call has loaded, then return.
 
-    Every micro-batch writes its own ``batch_id=`` folder of ``target`` and
-    ``metrics`` by overwriting it. A batch repeated after a failure therefore replaces
-    its own output, and the checkpoint moves on only after both writes succeeded.
+    Every micro-batch overwrites its own ``batch_id=`` folder of ``target`` (Parquet,
+    see :func:`read_ingested`) and ``metrics`` (JSON). A batch repeated after a failure
+    therefore replaces its own output, and the checkpoint moves on only after both
+    writes succeeded. ``partition_by`` lays out the folders inside a batch.
     """
     reader = spark.readStream.schema(schema or event_schema())
     if max_files:
@@ -31,7 +32,9 @@ def ingest_available(spark: SparkSession, source: str, target: str, metrics: str
     def load(batch: DataFrame, batch_id: int) -> None:
         folder = f"batch_id={batch_id}"
         events = transform(batch)
-        write_table(events, join_path(target, folder), "parquet")
+        # Static: the whole folder is replaced, whatever days a failed attempt left in it.
+        write_table(events, join_path(target, folder), "parquet", partition_by=partition_by,
+                    options={"partitionOverwriteMode": "static"})
         written = read_back(batch.sparkSession, join_path(target, folder), events.schema, "parquet")
         # The source side needs the key only, so the second parse skips all other fields.
         write_table(reconcile(batch, written, pk), join_path(metrics, folder), "json")
@@ -39,3 +42,11 @@ def ingest_available(spark: SparkSession, source: str, target: str, metrics: str
     (reader.json(source).writeStream.foreachBatch(load)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True)
      .start().awaitTermination())
+
+
+def read_ingested(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """All rows ingested into ``target``, with the ``batch_id`` that brought them."""
+    if schema is None:
+        schema = flatten_event(spark.createDataFrame([], event_schema())).schema
+    loaded = read_back(spark, target, schema, "parquet")
+    return loaded.select(*schema.names, "batch_id")

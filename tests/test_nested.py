@@ -11,7 +11,7 @@ from clickloom.operators.flatten import add_safe_columns, event_view, flatten, f
 from clickloom.schemas import EVENT_COLUMNS, EVENT_SQL_COLUMNS, TIME_COLUMNS, event_schema
 from clickloom.functions.calendar import cast_columns
 from clickloom.sources.events import (
-    infer_schema, join_path, load_schema, not_null_count, persisted, read_events,
+    day_paths, infer_schema, join_path, load_schema, not_null_count, persisted, read_events,
     read_events_any_case, save_schema)
 
 FULL = {
@@ -53,6 +53,12 @@ def test_fixed_schema_reads_plain_and_gzip_and_counts_bad_lines(spark, log):
     assert all(bad[0][c] is None for c in events.columns if c != "_corrupt_record")
 
 
+def test_day_folders_are_selected_by_path(spark, log):
+    here = read_events(spark, day_paths(log, [1704067200000]))
+    assert here.count() == 6
+    assert day_paths("/r/", [1, 2], "s") == ["/r/s/1", "/r/s/2"]
+
+
 def test_flattened_event_has_the_28_columns_in_order(spark, log):
     flat = flatten_event(read_events(spark, f"{log}/*/*"))
     assert flat.columns == [alias for alias, _ in EVENT_COLUMNS]

@@ -89,6 +89,13 @@ def test_times_before_1970_and_far_ahead(spark):
     check(spark, [("u", -1.7e9), ("u", -1.7e9 - 0.5), ("u", -1.7e9 + 1801), ("u", 2e9), ("u", 2e9 + 1800.5)])
 
 
+def test_inactivity_before_each_session(spark):
+    rows = [("u", 0), ("u", 600), ("u", 4200), ("u", None)]
+    got = session_table(frame(spark, rows), keep_inactivity=True).orderBy("session_id").collect()
+    assert [r.inactivity_time for r in got] == [None, None, 60.0]
+    assert "inactivity_time" not in session_table(frame(spark, rows)).columns
+
+
 def test_gap_of_zero_and_fractional_minutes(spark):
     rows = [("u", 0), ("u", 0.4), ("u", 1), ("u", 31), ("u", 62)]
     check(spark, rows, gap_minutes=0)

@@ -9,7 +9,7 @@ from clickloom.operators.flatten import flatten_event
 from clickloom.operators.sessions import session_table
 from clickloom.schemas import METRIC_SCHEMA
 from clickloom.sources.events import read_events
-from clickloom.streaming.ingest import ingest_available
+from clickloom.streaming.ingest import ingest_available, read_ingested
 from clickloom.streaming.sessions import stream_sessions, write_available
 
 DAY = 86_400_000
@@ -29,7 +29,7 @@ def job(spark, tmp_path):
 
     def run(**options):
         ingest_available(spark, f"{tmp_path}/src/*", *paths, **options)
-        return spark.read.parquet(f"{paths[0]}/*")
+        return read_ingested(spark, paths[0])
 
     return run, paths
 
@@ -74,7 +74,12 @@ def test_small_batches(spark, tmp_path, job):
     for day in range(3):
         deliver(tmp_path, day, [f"m{day}"])
     assert run(max_files=1).count() == 3
-    assert len(list((tmp_path / "dw").glob("batch_id=*"))) == 3
+    assert len(list((tmp_path / "dw").glob("batch_id=*/ymd=*"))) == 3
+    pruned = read_ingested(spark, target).filter("ymd = '2024-01-02'")
+    assert [r.messageId for r in pruned.collect()] == ["m1"]
+    assert pruned.schema["ymd"].dataType.typeName() == "string"
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ymd" in plan
 
 
 def at(minutes):
