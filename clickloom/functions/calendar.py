@@ -16,34 +16,52 @@ from clickloom.schemas import DAY_MS, LOCAL_ZONE
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def utc_clock(column: Column, dtype: T.DataType) -> Column:
-    """``column`` as UTC wall clock; text that is no time becomes null."""
-    if isinstance(dtype, T.TimestampNTZType):
+def instant(column: Column, dtype: T.DataType) -> Column:
+    """``column`` as zoned timestamp; zone-less times are UTC, text that is no time null."""
+    if isinstance(dtype, T.TimestampType):
         return column
-    if isinstance(dtype, T.DateType):
-        return column.cast("timestamp_ntz")
     if isinstance(dtype, T.StringType):
-        column = column.try_cast("timestamp")
-    elif not isinstance(dtype, T.TimestampType):
-        raise TypeError(f"not a time column: {dtype.simpleString()}")
-    return F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr(_EPOCH))
+        return column.try_cast("timestamp")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_micros(_micros(column))
+    if isinstance(dtype, T.DateType):
+        return F.timestamp_seconds(F.unix_date(column).cast("bigint") * 86_400)
+    raise TypeError(f"not a time column: {dtype.simpleString()}")
 
 
-def utc_clock_of(df: DataFrame, name: str) -> Column:
+def _micros(clock: Column) -> Column:
+    """Microseconds of a zone-less time since 1970, without a detour over the session zone."""
+    fraction = (F.extract(F.lit("SECOND"), clock) * 1_000_000).cast("bigint") % 1_000_000
+    # unix_timestamp cuts towards 1970, so earlier times with a fraction are one too late.
+    second = F.unix_timestamp(clock) - F.when(
+        (clock < F.expr(_EPOCH)) & (fraction > 0), 1).otherwise(0)
+    return second * 1_000_000 + fraction
+
+
+def instant_of(df: DataFrame, name: str) -> Column:
+    """:func:`instant` of a column of ``df``."""
     found = resolve(df.schema, name)
     if found is None:
         raise ValueError(f"no column {name!r}")
-    return utc_clock(found.column(), found.dtype)
+    return instant(found.column(), found.dtype)
+
 
+def wall_clock(moment: Column, zone: str = "UTC") -> Column:
+    """A zoned timestamp as the zone-less clock time of ``zone``.
 
-def instant(clock: Column) -> Column:
-    """A UTC wall clock as zoned timestamp."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), clock))
+    A plain cast would take the session zone, and ``convert_timezone`` looks both
+    zones up again for every row.
+    """
+    shifted = moment if zone == "UTC" else F.from_utc_timestamp(moment, zone)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(shifted), F.expr(_EPOCH))
 
 
-def shift_zone(clock: Column, zone: str, source_zone: str = "UTC") -> Column:
-    """A wall clock of ``source_zone`` as wall clock of ``zone``."""
-    return F.convert_timezone(F.lit(source_zone), F.lit(zone), clock)
+def utc_clock_of(df: DataFrame, name: str) -> Column:
+    """A column of ``df`` as UTC clock time."""
+    found = resolve(df.schema, name)
+    if found and isinstance(found.dtype, T.TimestampNTZType):
+        return found.column()
+    return wall_clock(instant_of(df, name))
 
 
 def week_start_sunday(day: Column) -> Column:
@@ -74,17 +92,17 @@ def with_calendar(df: DataFrame, ts: str = "timestamp", zone: str = LOCAL_ZONE,
         raise ValueError("basis is 'raw' or 'local'")
     if week_key not in ("sunday", "yesterday"):
         raise ValueError("week_key is 'sunday' or 'yesterday'")
-    clocks = df.withColumn("_utc", utc_clock_of(df, ts)).withColumn(
-        "local_timestamp", shift_zone(F.col("_utc"), zone))
+    clocks = df.withColumns({
+        "_utc": utc_clock_of(df, ts), "local_timestamp": wall_clock(instant_of(df, ts), zone)})
     next_day = F.date_add(F.col("local_timestamp"), 1)
-    month_source = F.col("_utc" if basis == "raw" else "local_timestamp")
+    ymd = F.col("_utc" if basis == "raw" else "local_timestamp").cast("date").cast("string")
     return clocks.withColumns({
         "next_local_day": next_day,
         "ywd": week_start_sunday(next_day) if week_key == "sunday"
         else F.date_sub(F.col("local_timestamp"), 1),
         "yw": year_week(next_day, iso),
-        "ym": F.date_format(month_source, "yyyy-MM"),
-        "ymd": F.date_format(month_source, "yyyy-MM-dd"),
+        "ym": F.substring(ymd, F.lit(1), F.length(ymd) - 3),
+        "ymd": ymd,
     }).drop("_utc")
 
 

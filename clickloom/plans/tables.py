@@ -18,7 +18,7 @@ def event_log(events: DataFrame) -> DataFrame:
     A third of the rows has a hospital array of two elements, a third of one, a third
     none; every seventh user has no ``userId``.
     """
-    k = F.from_json("props", "k INT")["k"]
+    k = F.col("_k")
     kind = F.col("event_type")
     user = F.col("user_id").cast("string")
 
@@ -27,7 +27,7 @@ def event_log(events: DataFrame) -> DataFrame:
         return (F.when(k % 3 == 0, F.array(number, F.concat(F.lit(name_prefix), number)))
                 .when(k % 3 == 1, F.array(number)))
 
-    return events.select(
+    return events.withColumn("_k", F.from_json("props", "k INT")["k"]).select(
         user.alias("anonymousId"),
         F.struct(
             F.concat(F.lit("agent/"), F.col("user_id") % 5).alias("userAgent"),

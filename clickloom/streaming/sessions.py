@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.calendar import instant, utc_clock_of
+from clickloom.functions.calendar import instant_of, utc_clock_of
 from clickloom.functions.paths import quoted
 
 _MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
@@ -25,7 +25,7 @@ def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30
     events.sparkSession.conf.set(_MERGE_BEFORE_SHUFFLE, "true")
     # Watermarks need a zoned timestamp.
     zoned = events.select(
-        F.col(quoted(user)), instant(utc_clock_of(events, ts)).alias("_moment"))
+        F.col(quoted(user)), instant_of(events, ts).alias("_moment"))
     moment = F.col("_moment")
     grouped = zoned.withWatermark("_moment", delay).groupBy(
         F.col(quoted(user)), F.session_window(moment, f"{gap_minutes} minutes").alias("_session"))

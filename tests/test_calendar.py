@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.functions.calendar import cast_columns, day_ms, with_calendar
+from clickloom.functions.calendar import cast_columns, day_ms, instant_of, with_calendar
 
 D = dt.date
 
@@ -71,6 +71,27 @@ def test_results_do_not_depend_on_the_session_zone(spark):
     assert expected.local_timestamp == dt.datetime(2024, 3, 10, 16, 30, 0, 123456)
 
 
+@pytest.mark.parametrize("clock", [
+    dt.datetime(2024, 3, 10, 2, 30, 0, 123456),      # skipped by clocks in New York
+    dt.datetime(2024, 11, 3, 1, 30),                 # twice in New York
+    dt.datetime(1969, 12, 31, 23, 59, 58, 900000), dt.datetime(1955, 5, 5, 5, 5, 5)])
+def test_zone_less_times_are_utc_under_any_session_zone(spark, clock):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(clock,)], "t TIMESTAMP_NTZ")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        row = with_calendar(df, "t", zone="Etc/GMT-9").first()
+        micros = df.select(F.unix_micros(instant_of(df, "t"))).first()[0]
+        day = df.select(day_ms(df, "t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    since = clock - dt.datetime(1970, 1, 1)
+    assert row.local_timestamp == clock + dt.timedelta(hours=9)
+    assert (row.ym, row.ymd) == (f"{clock:%Y-%m}", f"{clock:%Y-%m-%d}")
+    assert micros == since // dt.timedelta(microseconds=1)
+    assert day == since.days * 86_400_000
+
+
 def test_other_zones_and_options_are_checked(spark):
     assert keys(spark, "2024-07-01T12:00:00Z", zone="Europe/Paris").local_timestamp.hour == 14
     with pytest.raises(ValueError):

@@ -23,6 +23,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(u, at(s)) for u, s in rows], SCHEMA)
 
 
+def second(t):
+    """Whole seconds since 1970, cut as ``unix_timestamp`` does."""
+    return int((t - dt.datetime(1970, 1, 1)).total_seconds())
+
+
 def brute_force(rows, gap_seconds):
     """Session rows and, per user, session number -> event times."""
     users = defaultdict(list)
@@ -33,9 +38,7 @@ def brute_force(rows, gap_seconds):
         times = [t for t in times if t is None] + sorted(t for t in times if t is not None)
         starts, previous = [], None
         for t in times:
-            if t is None or previous is None or (
-                    t.replace(microsecond=0) - previous.replace(microsecond=0)
-                    > dt.timedelta(seconds=gap_seconds)):
+            if t is None or previous is None or second(t) - second(previous) > gap_seconds:
                 starts.append(t)
             members.append((user, t, len(starts), starts[-1]))
             previous = t
@@ -86,7 +89,7 @@ def test_fractions_are_floored_for_the_gap_but_kept_in_the_start(spark):
 
 
 def test_times_before_1970_and_far_ahead(spark):
-    check(spark, [("u", -1.7e9), ("u", -1.7e9 - 0.5), ("u", -1.7e9 + 1801), ("u", 2e9), ("u", 2e9 + 1800.5)])
+    check(spark, [("u", -1.8e9), ("u", -1.8e9 - 0.5), ("u", -1.8e9 + 1801), ("u", 2e9), ("u", 2e9 + 1800.5)])
 
 
 def test_inactivity_before_each_session(spark):
@@ -123,11 +126,11 @@ def test_invariants_on_all_events(spark, sf_dir):
     assert assigned.select("session_id").distinct().count() == sessions.count()
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(
-    st.sampled_from(["a", "b", None]),
+    st.sampled_from(["a", "b", "c", "d", "e", None]),
     st.one_of(st.none(), st.integers(-40, 40).map(lambda k: k * 450),
-              st.floats(-9000, 9000).map(lambda x: round(x, 3)))), min_size=1, max_size=40),
+              st.floats(-9000, 9000).map(lambda x: round(x, 3)))), min_size=1, max_size=80),
     st.sampled_from([0, 1, 7.5, 30]))
 def test_equals_brute_force(spark, rows, gap):
     check(spark, rows, gap)
