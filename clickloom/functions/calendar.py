@@ -6,12 +6,14 @@ on the session time zone.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.paths import quoted, resolve
-from clickloom.schemas import DAY_MS, LOCAL_ZONE
+from clickloom.schemas import DAY_MS, LOCAL_ZONE, TIME_COLUMNS
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -112,7 +114,8 @@ def day_ms(df: DataFrame, ts: str) -> Column:
     return F.unix_date(day).cast("bigint") * F.lit(DAY_MS)
 
 
-def cast_columns(df: DataFrame, names, dtype: str = "timestamp") -> DataFrame:
+def cast_columns(df: DataFrame, names: Iterable[str] = TIME_COLUMNS,
+                 dtype: str = "timestamp") -> DataFrame:
     """``try_cast`` the columns among ``names`` that ``df`` has; skip the others."""
     wanted = {name.lower() for name in names}
     return df.withColumns({

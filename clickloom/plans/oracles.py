@@ -8,16 +8,17 @@ _SECOND = "(epoch_us({0}) // 1000000)"
 _DAY_MS = "CAST(epoch_ms(date_trunc('day', ts)) AS BIGINT)"
 
 
-def _sessions(user: str, ts: str, rows: str, gap_seconds: int, user_name: str) -> str:
+def _sessions(user: str, ts: str, rows: str, gap_seconds: int, user_name: str,
+              more: str = "") -> str:
     gap = f"{_SECOND.format(ts)} - lag({_SECOND.format(ts)}) OVER w"
     return f"""
         WITH gaps AS (
             SELECT {user} AS u, {ts} AS t, {gap} AS idle
             FROM {rows} WINDOW w AS (PARTITION BY {user} ORDER BY {ts})),
-        starts AS (SELECT u, t FROM gaps WHERE idle IS NULL OR idle > {gap_seconds})
+        starts AS (SELECT * FROM gaps WHERE idle IS NULL OR idle > {gap_seconds})
         SELECT concat(u, '-', row_number() OVER (PARTITION BY u ORDER BY t)) AS session_id,
                u AS {user_name}, t AS session_start_at,
-               lead(t) OVER (PARTITION BY u ORDER BY t) AS next_session_start_at
+               lead(t) OVER (PARTITION BY u ORDER BY t) AS next_session_start_at{more}
         FROM starts"""
 
 
@@ -188,6 +189,8 @@ _SESSIONS_30M = _sessions("user_id", "ts", "events", 1800, "user_id")
 ORACLES = {
     "sessions_30m": _SESSIONS_30M,
     "sessions_6h": _sessions("user_id", "ts", "events", 21600, "user_id"),
+    "sessions_of_types": _sessions(
+        "event_type", "ts", "events", 300, "event_type", ", idle / 60.0 AS inactivity_time"),
     "sessions_all_events": _SESSIONS_ALL_EVENTS,
     "sessions_from_log": _sessions(
         "user_id", "ts",

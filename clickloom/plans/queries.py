@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.calendar import cast_columns, day_ms, with_calendar
@@ -63,6 +63,12 @@ def sessions_6h(spark, sf_dir):
     return session_table(table(spark, sf_dir, "events"), "user_id", "ts", gap_minutes=360)
 
 
+def sessions_of_types(spark, sf_dir):
+    """Five keys that hold a fifth of all events each."""
+    return session_table(table(spark, sf_dir, "events"), "event_type", "ts", gap_minutes=5,
+                         keep_inactivity=True)
+
+
 def sessions_all_events(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     return assign_sessions(events, "user_id", "ts", gap_minutes=360)
@@ -354,7 +360,7 @@ def stream_user_sessions(spark, sf_dir):
 
 
 QUERIES = {query.__name__: query for query in (
-    sessions_30m, sessions_6h, sessions_all_events, sessions_from_log,
+    sessions_30m, sessions_6h, sessions_of_types, sessions_all_events, sessions_from_log,
     calendar_keys, calendar_keys_iso_local, calendar_keys_orders,
     flatten_events, safe_columns, array_elements, auto_flatten, inferred_log, case_tolerant_log,
     nested_sql_top5, not_null_hospitals,

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows grouped by ``columns`` in partitions of even size; large groups are split."""
+    return df.hint("rebalance", *columns)
+
+
 def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet", *,
                 mode: str = "overwrite", partition_by: Sequence[str] = (),
                 rebalance: bool = False, options: dict[str, str] | None = None) -> None:
@@ -19,17 +24,25 @@ def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet", *,
     Leave it off when tasks already hold one folder each, as with day-wise input.
     """
     if rebalance and partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = rebalanced(df, partition_by)
     writer = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path) if path else writer.save()
 
 
-def write_counted(df: DataFrame, path: str, fmt: str = "parquet", **kwargs) -> int:
-    """:func:`write_table` that also returns the rows written, counted on the way."""
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet", *,
+                  partition_by: Sequence[str] = (), rebalance: bool = False, **kwargs) -> int:
+    """:func:`write_table` that also returns the rows written, counted on the way.
+
+    The count sits after any shuffle, in the tasks that write: Spark takes each of
+    these into account once, also when it has to repeat lost ones.
+    """
+    if rebalance and partition_by:
+        df = rebalanced(df, partition_by)
     observed = Observation()
-    write_table(df.observe(observed, F.count(F.lit(1)).alias("rows")), path, fmt, **kwargs)
+    write_table(df.observe(observed, F.count(F.lit(1)).alias("rows")), path, fmt,
+                partition_by=partition_by, **kwargs)
     return observed.get["rows"]
 
 

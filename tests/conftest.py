@@ -11,7 +11,8 @@ from clickloom.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("clickloom-tests", "local[8]", {
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g", "spark.driver.host": "127.0.0.1"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

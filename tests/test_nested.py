@@ -53,6 +53,15 @@ def test_fixed_schema_reads_plain_and_gzip_and_counts_bad_lines(spark, log):
     assert all(bad[0][c] is None for c in events.columns if c != "_corrupt_record")
 
 
+def test_wrong_types_keep_the_row_and_its_other_fields(spark, tmp_path):
+    (tmp_path / "x.json").write_text(
+        '{"messageId":"m5","properties":{"path":"/p","action":{"hospital":"no list"}}}\n'
+        '{"messageId":6,"properties":"text","userId":7}\n')
+    rows = {r.messageId: r for r in flatten_event(read_events(spark, str(tmp_path))).collect()}
+    assert rows["m5"].properties_action_hospital_id is None and rows["m5"].properties_path == "/p"
+    assert rows["6"].properties is None and rows["6"].userId == "7"
+
+
 def test_day_folders_are_selected_by_path(spark, log):
     here = read_events(spark, day_paths(log, [1704067200000]))
     assert here.count() == 6
@@ -76,7 +85,8 @@ def test_flattened_event_has_the_28_columns_in_order(spark, log):
 
 
 def test_json_keys_are_matched_by_case_unless_asked_otherwise(spark, tmp_path):
-    lower = {"anonymousid": "v", "messageid": "m9", "context": {"useragent": "ua2", "page": {"url": "/y"}},
+    lower = {"anonymousid": "v", "messageid": "m9",
+             "context": {"useragent": "ua2", "page": {"url": "/y"}},
              "properties": {"action": {"hospital": [3, "Z"]}, "properties": {"hospitalid": "4"}}}
     (tmp_path / "x.json").write_text("\n".join([json.dumps(FULL), json.dumps(lower), "", "[broken"]))
     strict = read_events(spark, str(tmp_path))
@@ -153,7 +163,8 @@ def test_sql_view_and_not_null_count(spark, log):
     events = read_events(spark, f"{log}/*/*")
     with persisted(events):
         query = event_view(events)
-        top = spark.sql(f"{query} WHERE properties.action.hospital IS NOT NULL ORDER BY messageid LIMIT 5;")
+        top = spark.sql(f"{query} WHERE properties.action.hospital IS NOT NULL "
+                        "ORDER BY messageid LIMIT 5;")
         assert top.columns == [alias for alias, _ in EVENT_SQL_COLUMNS] and len(top.columns) == 21
         assert [r.messageid for r in top.collect()] == ["m1", "m2", "m4"]
         assert not_null_count(events, "properties.action.hospital").first().n == 3
