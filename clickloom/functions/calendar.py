@@ -18,17 +18,22 @@ from clickloom.schemas import DAY_MS, LOCAL_ZONE, TIME_COLUMNS
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def instant(column: Column, dtype: T.DataType) -> Column:
-    """``column`` as zoned timestamp; zone-less times are UTC, text that is no time null."""
+def instant(column: Column, dtype: T.DataType, source_zone: str = "UTC") -> Column:
+    """``column`` as zoned timestamp; text that is no time becomes null.
+
+    Zone-less times and dates are clock times of ``source_zone``.
+    """
     if isinstance(dtype, T.TimestampType):
         return column
     if isinstance(dtype, T.StringType):
         return column.try_cast("timestamp")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_micros(_micros(column))
-    if isinstance(dtype, T.DateType):
-        return F.timestamp_seconds(F.unix_date(column).cast("bigint") * 86_400)
-    raise TypeError(f"not a time column: {dtype.simpleString()}")
+        as_utc = F.timestamp_micros(_micros(column))
+    elif isinstance(dtype, T.DateType):
+        as_utc = F.timestamp_seconds(F.unix_date(column).cast("bigint") * 86_400)
+    else:
+        raise TypeError(f"not a time column: {dtype.simpleString()}")
+    return as_utc if source_zone == "UTC" else F.to_utc_timestamp(as_utc, source_zone)
 
 
 def _micros(clock: Column) -> Column:
@@ -40,12 +45,12 @@ def _micros(clock: Column) -> Column:
     return second * 1_000_000 + fraction
 
 
-def instant_of(df: DataFrame, name: str) -> Column:
+def instant_of(df: DataFrame, name: str, source_zone: str = "UTC") -> Column:
     """:func:`instant` of a column of ``df``."""
     found = resolve(df.schema, name)
     if found is None:
         raise ValueError(f"no column {name!r}")
-    return instant(found.column(), found.dtype)
+    return instant(found.column(), found.dtype, source_zone)
 
 
 def wall_clock(moment: Column, zone: str = "UTC") -> Column:
@@ -83,10 +88,12 @@ def year_week(day: Column, iso: bool = False) -> Column:
 
 
 def with_calendar(df: DataFrame, ts: str = "timestamp", zone: str = LOCAL_ZONE, *,
-                  basis: str = "raw", iso: bool = False, week_key: str = "sunday") -> DataFrame:
+                  source_zone: str = "UTC", basis: str = "raw", iso: bool = False,
+                  week_key: str = "sunday") -> DataFrame:
     """Add ``local_timestamp, next_local_day, ywd, yw, ym, ymd`` derived from ``ts``.
 
-    ``basis``: ``raw`` formats ``ym``/``ymd`` from the UTC clock, ``local`` from the
+    ``source_zone`` is the zone of times that carry none. ``basis``: ``raw`` formats
+    ``ym``/``ymd`` from the time as given (in UTC if it has a zone), ``local`` from the
     local one. ``week_key``: ``sunday`` is the Sunday opening the local week,
     ``yesterday`` the local day before.
     """
@@ -95,7 +102,7 @@ def with_calendar(df: DataFrame, ts: str = "timestamp", zone: str = LOCAL_ZONE,
     if week_key not in ("sunday", "yesterday"):
         raise ValueError("week_key is 'sunday' or 'yesterday'")
     clocks = df.withColumns({
-        "_utc": utc_clock_of(df, ts), "local_timestamp": wall_clock(instant_of(df, ts), zone)})
+        "_utc": utc_clock_of(df, ts), "local_timestamp": wall_clock(instant_of(df, ts, source_zone), zone)})
     next_day = F.date_add(F.col("local_timestamp"), 1)
     ymd = F.col("_utc" if basis == "raw" else "local_timestamp").cast("date").cast("string")
     return clocks.withColumns({

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.paths import quoted
-from clickloom.operators.extremes import with_text
+from clickloom.functions.report import with_text
 from clickloom.schemas import DAY_MS
 
 

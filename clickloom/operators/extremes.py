@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.paths import quoted, resolve
+from clickloom.functions.report import with_text
 from clickloom.schemas import READING_KEYS, READING_SENTINELS, READING_STATS
 
 
@@ -41,6 +42,7 @@ def extremes_report(df: DataFrame, stats: Sequence[tuple[str, str, str]] = READI
     ``(value, *keys)`` is the maximum together with its row. ``overrides`` replaces
     the sentinels for single columns. A column without any reading gives nulls.
     """
+    sentinels = tuple(sentinels)
     picked = []
     for _, column, _ in stats:
         valid = is_reading(df, column, (overrides or {}).get(column, sentinels))
@@ -55,11 +57,6 @@ def extremes_report(df: DataFrame, stats: Sequence[tuple[str, str, str]] = READI
     return df.agg(*picked).select(F.inline(rows))
 
 
-def with_text(df: DataFrame, template: str, columns: Sequence[str], name: str = "line") -> DataFrame:
-    """Add a report line: ``template`` filled printf-style from ``columns``."""
-    return df.withColumn(name, F.format_string(template, *[F.col(quoted(c)) for c in columns]))
-
-
 def reading_lines(report: DataFrame) -> DataFrame:
     """The text lines of an :func:`extremes_report` over weather readings."""
     return with_text(report, "%s: %s%s on %s at %s (%s, %s)", [

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.paths import quoted
-from clickloom.operators.extremes import with_text
+from clickloom.functions.report import with_text
 from clickloom.schemas import CORRUPT
 
 
@@ -56,3 +56,9 @@ def compare(source: DataFrame, target: DataFrame, pk: str, *, distinct: bool = T
 def metric_lines(metrics: DataFrame) -> DataFrame:
     """Metrics with a text line for a report."""
     return with_text(metrics, "%s: %d", ["metric", "value"])
+
+
+def not_null_count(df: DataFrame, path: str, name: str = "n") -> DataFrame:
+    """How many rows have a value at a nested ``path``."""
+    column = F.col(".".join(map(quoted, path.split("."))))
+    return df.agg(F.count(column).alias(name))

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.calendar import cast_columns, day_ms, with_calendar
 from clickloom.functions.paths import leaf_paths
+from clickloom.functions.report import with_text
 from clickloom.operators.days import day_status, missing_days, next_day
-from clickloom.operators.extremes import extremes_report, largest, with_text
+from clickloom.operators.extremes import extremes_report, largest
 from clickloom.operators.flatten import add_safe_columns, event_view, flatten, flatten_event
-from clickloom.operators.reconcile import compare, metric_lines, reconcile
+from clickloom.operators.reconcile import compare, metric_lines, not_null_count, reconcile
 from clickloom.operators.sessions import assign_sessions, session_table
 from clickloom.plans.daily import daily_load
 from clickloom.plans.tables import day_log, event_log, table
 from clickloom.schemas import METRIC_SCHEMA
 from clickloom.session import scratch_path
 from clickloom.sources.events import (
-    infer_schema, load_schema, metric_preview, not_null_count, read_events, read_events_any_case,
-    read_readings, save_schema)
+    infer_schema, load_schema, metric_preview, read_events, read_events_any_case, read_readings,
+    save_schema)
 from clickloom.sources.files import file_inventory, folder_names, folder_volume, last_files, volume
 from clickloom.sources.writers import read_back, write_counted, write_table
 from clickloom.streaming.ingest import ingest_available, read_ingested

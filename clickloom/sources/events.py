@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.paths import quoted
 from clickloom.schemas import CORRUPT, METRIC_SCHEMA, READING_SCHEMA, event_schema
 
 
@@ -117,9 +116,3 @@ def persisted(df: DataFrame):
         yield df
     finally:
         df.unpersist()
-
-
-def not_null_count(df: DataFrame, path: str, name: str = "n") -> DataFrame:
-    """How many rows have a value at a nested ``path``."""
-    column = F.col(".".join(map(quoted, path.split("."))))
-    return df.agg(F.count(column).alias(name))

@@ -92,6 +92,16 @@ def test_zone_less_times_are_utc_under_any_session_zone(spark, clock):
     assert day == since.days * 86_400_000
 
 
+def test_conversion_the_other_way(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 5),)], "t TIMESTAMP_NTZ")
+    row = with_calendar(df, "t", "UTC", source_zone="Asia/Seoul", iso=True, basis="local").first()
+    assert row.local_timestamp == dt.datetime(2024, 1, 1, 20)
+    assert (row.ymd, row.yw, row.ywd) == ("2024-01-01", "2024-01", D(2023, 12, 31))
+    day = spark.createDataFrame([(D(2024, 7, 1),)], "t DATE")
+    row = with_calendar(day, "t", "UTC", source_zone="Europe/Paris").first()
+    assert row.local_timestamp == dt.datetime(2024, 6, 30, 22) and row.ymd == "2024-07-01"
+
+
 def test_other_zones_and_options_are_checked(spark):
     assert keys(spark, "2024-07-01T12:00:00Z", zone="Europe/Paris").local_timestamp.hour == 14
     with pytest.raises(ValueError):

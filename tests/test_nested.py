@@ -6,12 +6,13 @@ import json
 import pytest
 from pyspark.sql import types as T
 
+from clickloom.functions.calendar import cast_columns
 from clickloom.functions.paths import leaf_paths, resolve, safe_col
 from clickloom.operators.flatten import add_safe_columns, event_view, flatten, flatten_event
+from clickloom.operators.reconcile import not_null_count
 from clickloom.schemas import EVENT_COLUMNS, EVENT_SQL_COLUMNS, TIME_COLUMNS, event_schema
-from clickloom.functions.calendar import cast_columns
 from clickloom.sources.events import (
-    day_paths, infer_schema, join_path, load_schema, not_null_count, persisted, read_events,
+    day_paths, infer_schema, join_path, load_schema, persisted, read_events,
     read_events_any_case, save_schema)
 
 FULL = {
