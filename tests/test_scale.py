@@ -13,6 +13,7 @@ from clickloom.operators.sessions import assign_sessions, session_table
 from clickloom.plans.tables import event_log
 from clickloom.session import scratch_path, scratch_root
 from clickloom.sources.events import metric_preview
+from clickloom.sources.writers import write_table
 
 
 @pytest.fixture
@@ -98,6 +99,21 @@ def test_hot_slot_is_split_when_sessions_are_joined_back(spark, conf):
     assert assigned.count() == 200_000
 
 
+def test_large_folder_is_written_by_several_tasks_and_small_ones_by_few(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="400k")
+    rows = spark.range(60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    write_table(rows, str(tmp_path / "plain"), partition_by=["day"])
+    assert len(list((tmp_path / "plain").glob("day=*/*.parquet"))) == 8 * 40
+    write_table(rows, str(tmp_path / "even"), partition_by=["day"], rebalance=True)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "even").glob("day=*")}
+    small = [n for name, n in files.items() if name != "day=0"]
+    assert files["day=0"] > 1
+    assert len(small) == 39 and sum(small) < 3 * len(small)
+    assert spark.read.parquet(str(tmp_path / "even")).count() == 60_000
+
+
 def test_numbering_is_dense_per_key_and_keeps_hot_keys_apart(spark):
     rows = spark.range(10_000, numPartitions=16).selectExpr("IF(id % 3 = 0, NULL, id % 7) AS k", "id")
     got = number_rows(rows, ["k"], "n")
