@@ -161,12 +161,14 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, ends: np.ndarray,
+                apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased words of all rows, and where each row's words begin.
 
-    Words are runs of bytes other than 0x20 and 0x09 to 0x0D; only A-Z is lower-cased.
+    Words are runs of bytes not marked in ``apart``, by default 0x20 and 0x09 to 0x0D; only
+    A-Z is lower-cased.
     """
-    word = ~SPACE[data]
+    word = ~apart[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     inner = ends[(ends > 0) & (ends < len(data))]
