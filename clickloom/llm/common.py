@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,55 +63,90 @@ def _fingerprint(edges: DataFrame):
     return tuple(row)
 
 
-def linked(keys: DataFrame, confirm: Callable[[DataFrame], DataFrame], label: str,
-           rounds: int = 2) -> DataFrame:
-    """Components of the confirmed links among ids that share a key.
+def shared_keys(keys: DataFrame, label: str) -> DataFrame:
+    """The rows of ``keys(key, id)`` whose key has at least two ids, written once."""
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    return stored(keys.join(shared.select("key"), "key", "left_semi"), label)
+
+
+BLOCK_ITEMS = 1 << 16
+
+
+def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: int = 2) -> DataFrame:
+    """``(id, component)`` of the ids that are linked to another one.
 
-    ``keys`` has ``(key, id)``; ``confirm`` keeps the true links of distinct ``(a, b)``.
-    Each round proposes only the pairs of one member per key with the others, and later
-    only members that are still in another component of their key. What is left apart
-    after ``rounds`` is compared in full across components, so no link that joins two
-    components is lost while the copies of a large group are never paired with each other.
+    Ids that share a key are linked if 100 * common >= ``percent`` * all elements of their
+    two sets. ``keys(key, id)`` comes from :func:`shared_keys`; ``sets(id, items)`` holds
+    arrays of distinct longs.
+
+    Each round compares one member of each key with those members that are not yet in its
+    component. Keys whose members are then still apart are settled in full: their members
+    outside the largest component of a cluster are compared with all its members. For that
+    the cluster is folded into rows of bounded size, which meet one member at a time, so
+    no pair becomes a row unless it is a link, and pairs within a component never meet.
     """
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    keys = stored(keys.join(shared.select("key"), "key", "left_semi"), label)
-    links, groups, tried = None, None, None
+    sizes = sets.select("id", F.size("items").alias("n"))
+    links, groups = None, None
     for turn in range(rounds + 1):
-        here = keys if groups is None else keys.join(groups, "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component"))
-        if groups is None:
-            here = here.withColumn("component", F.col("id"))
-        open_keys = (here.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                             (F.min("id") if turn % 2 == 0 else F.max("id")).alias("lead"))
-                     .where("lo < hi"))
-        if turn < rounds:
-            lead = open_keys.select("key", "lead")
-            proposed = here.join(lead, "key")
-            if turn:
-                owner = here.select("key", F.col("id").alias("lead"), F.col("component").alias("other"))
-                proposed = proposed.join(owner, ["key", "lead"]).where("other <> component")
-            pairs = proposed.where("id <> lead").select(
-                F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
-        else:
-            here = here.join(open_keys.select("key"), "key", "left_semi")
-            left = here.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
-            right = here.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            pairs = left.join(right, "key").where("a < b and ca <> cb").select("a", "b")
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, label)
-        if pairs.isEmpty():
-            if groups is not None:
+        here = keys.withColumn("component", F.col("id")) if groups is None else keys.join(
+            groups, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        pick, pick_by = (F.min, F.min_by) if turn % 2 == 0 else (F.max, F.max_by)
+        leads = (here.groupBy("key").agg(
+            pick("id").alias("lead"), pick_by("component", "id").alias("ahead"),
+            F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi"))
+        apart = here.join(leads, "key").where("component <> ahead")
+        if turn == rounds:
+            still = stored(here.join(leads.select("key", "lead"), "key"), label)
+            if still.isEmpty():
                 break
-            return components(pairs, label)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stored(confirm(pairs), label)
+            found = _settled(still, sets, percent, label)
+        else:
+            pairs = (apart.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+                     .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+                     .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
+            found = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+                     .where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"))
+        found = stored(found, label)
+        if groups is not None and found.isEmpty():
+            continue
         links = found if links is None else links.unionByName(found)
-        groups = stored(components(links, label), label)
+        groups = components(links, label)
     return groups
 
 
+def _alike(x, y, percent: int):
+    common = F.size(F.array_intersect(x, y))
+    return 100 * common >= percent * (F.size(x) + F.size(y) - common)
+
+
+def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
+    """All links across components of ``still(key, id, component, lead)``, from outside the
+    largest component of each cluster of keys."""
+    clusters = components(still.select(F.col("id").alias("a"), F.col("lead").alias("b")), label)
+    members = stored(
+        still.select("id", "component").distinct()
+        .join(clusters.withColumnRenamed("component", "cluster"), "id").join(sets, "id")
+        .withColumn("n", F.size("items")), label)
+    parts = members.groupBy("cluster", "component").agg(F.count("*").alias("members"))
+    largest = parts.groupBy("cluster").agg(F.max_by("component", "members").alias("largest"))
+    totals = (members.groupBy("cluster").agg(F.sum("n").alias("total"))
+              .select("cluster", F.ceil(F.col("total") / BLOCK_ITEMS).alias("blocks")).join(largest, "cluster"))
+    members = members.join(totals, "cluster")
+    folded = (members.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
+              .groupBy("cluster", "block")
+              .agg(F.collect_list(F.struct("id", "component", "n", "items")).alias("others")))
+    outside = members.where("component <> largest")
+
+    def linked_to(other):
+        return ((other["component"] != F.col("component"))
+                & (100 * F.least(other["n"], F.col("n")) >= percent * F.greatest(other["n"], F.col("n")))
+                & _alike(other["items"], F.col("items"), percent))
+
+    met = outside.join(folded, "cluster").select(
+        F.col("id").alias("a"), F.transform(F.filter("others", linked_to), lambda o: o["id"]).alias("to"))
+    return met.where(F.size("to") > 0).select("a", F.explode("to").alias("b"))
+
+
 # --- texts as byte arrays -------------------------------------------------------------
 
 
@@ -183,6 +217,3 @@ def word_hashes(data: np.ndarray, ends: np.ndarray,
     sums = np.add.reduceat(BYTE_CODES[LOWER[data[at]]] * powers[place], begins)
     return mixed(sums), np.searchsorted(at[begins], ends)
 
-
-def to_pandas(names: list[str], *columns) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(names, columns)))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import language_mixture, minhash_hamming, page_difference, token_lengths, url_digests
+from clickloom.llm import (
+    fuzzy_lines, language_mixture, minhash_hamming, page_difference, repeat_index, spaced_seeds,
+    temperature_mix, token_lengths, url_digests)
 from clickloom.llm.common import table
 
 # The rules of the URL query.
@@ -12,6 +14,10 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
              ("com/fr/", "allow"), ("com/de/", "block")]
 
 
+def op1_repeat_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_index.digest(repeat_index.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_mixture.identify(table(spark, sf_dir, "documents"))
 
@@ -32,8 +38,21 @@ def op7_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_hamming.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temperature_mix.mixture(table(spark, sf_dir, "documents"))
+
+
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.removals(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
-    op2_language_mixture, op3_token_lengths, op4_page_difference, op5_url_digests, op7_minhash_hamming)}
+    op1_repeat_index, op2_language_mixture, op3_token_lengths, op4_page_difference, op5_url_digests,
+    op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines)}
 
 ORACLES = {
     "op5_url_digests": r"""
