@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import LOWER, SPACE, slices, utf8
@@ -129,6 +129,14 @@ def fit(train: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     return languages, tables.astype(np.float32)
 
 
+def _judge(names: list[str], logs: np.ndarray, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions of the languages, and which texts have letters and so a language."""
+    letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    shares = mixtures(*utf8(text), logs)[0] if names else np.zeros((len(text), 1))
+    shares[~letters] = 0
+    return shares, letters & bool(names)
+
+
 def predict(docs: DataFrame, languages: list[str], tables: np.ndarray) -> DataFrame:
     """``(doc_id, lang_pred, score, langs)`` of every row of ``docs(doc_id, text)``.
 
@@ -142,13 +150,8 @@ def predict(docs: DataFrame, languages: list[str], tables: np.ndarray) -> DataFr
     def run(batches):
         names, logs = model.value
         for batch in slices(batches, "text", PIECE):
-            text = batch.column("text")
-            letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            data, ends = utf8(text)
-            shares = mixtures(data, ends, logs)[0] if names else np.zeros((len(text), 1))
-            shares[~letters] = 0
+            shares, known = _judge(names, logs, batch.column("text"))
             top = shares.argmax(axis=1)
-            known = letters & bool(names)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()),
                 pa.array([names[k] if ok else "und" for k, ok in zip(top, known)], pa.string()),
@@ -160,9 +163,9 @@ def predict(docs: DataFrame, languages: list[str], tables: np.ndarray) -> DataFr
         run, "doc_id long, lang_pred string, score double, langs array<string>")
 
 
-def held_out(doc_id) -> "F.Column":
-    """Whether a document belongs to the quarter that is never learned from."""
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+def held_out(doc_id: Column) -> Column:
+    """Whether a document belongs to the quarter that is never learned from; no, if it has no id."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -170,3 +173,18 @@ def identify(docs: DataFrame) -> DataFrame:
     languages, tables = fit(docs.where(~held_out(F.col("doc_id"))))
     predicted = predict(docs, languages, tables)
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs")
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und``, with all their columns.
+
+    Fitted on ``docs`` itself, as in :func:`identify`; nothing is shuffled.
+    """
+    languages, tables = fit(docs.where(~held_out(F.col("doc_id"))))
+    model = docs.sparkSession.sparkContext.broadcast((languages, tables))
+
+    def run(batches):
+        for batch in slices(batches, "text", PIECE):
+            yield batch.filter(pa.array(_judge(*model.value, batch.column("text"))[1]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    fuzzy_lines, language_mixture, minhash_hamming, page_difference, repeat_index, spaced_seeds,
-    temperature_mix, token_lengths, url_digests)
+    fuzzy_lines, language_mixture, minhash_hamming, page_difference, projection_forest, repeat_index,
+    spaced_seeds, temperature_mix, token_lengths, url_digests)
 from clickloom.llm.common import table
 
 # The rules of the URL query.
@@ -34,6 +35,10 @@ def op5_url_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_digests.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_hamming.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -52,7 +57,7 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_repeat_index, op2_language_mixture, op3_token_lengths, op4_page_difference, op5_url_digests,
-    op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines)}
+    op6_projection_forest, op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines)}
 
 ORACLES = {
     "op5_url_digests": r"""

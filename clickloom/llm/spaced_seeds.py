@@ -123,17 +123,22 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     The benchmark goes to the tasks in blocks of about 8 MB of text, each checked against
     all documents in a pass of its own, so any benchmark can be searched.
     """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    result = None
+    for benchmark in _blocks(items):
+        part = _against(texts, benchmark)
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+def _blocks(items: DataFrame):
     named = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
         "text is not null and item_id is not null").distinct()
     size = named.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    result = None
     for block in range(blocks):
         rows = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow().to_pydict()
-        part = _against(texts, Benchmark(rows["item_id"], rows["text"]))
-        result = part if result is None else result.unionByName(part)
-    return result
+        yield Benchmark(rows["item_id"], rows["text"])
 
 
 def _against(texts: DataFrame, benchmark: Benchmark) -> DataFrame:
@@ -153,6 +158,19 @@ def _against(texts: DataFrame, benchmark: Benchmark) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    held = overlaps(docs, items).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(held, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that hold no item, with all their columns; nothing is shuffled."""
+    for benchmark in _blocks(items):
+        docs = _without(docs, benchmark)
+    return docs
+
+
+def _without(docs: DataFrame, benchmark: Benchmark) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(benchmark)
+
+    def run(batches):
+        for batch in slices(batches, "text"):
+            keep = np.ones(batch.num_rows, bool)
+            keep[[h[0] for h in shared.value.overlaps(*word_hashes(*utf8(batch.column("text")), APART))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
