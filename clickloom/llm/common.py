@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,7 +73,8 @@ def shared_keys(keys: DataFrame, label: str) -> DataFrame:
 BLOCK_ITEMS = 1 << 16
 
 
-def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: int = 2) -> DataFrame:
+def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: int = 2,
+           native: bool = False) -> DataFrame:
     """``(id, component)`` of the ids that are linked to another one.
 
     Ids that share a key are linked if 100 * common >= ``percent`` * all elements of their
@@ -81,9 +83,9 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
 
     Each round compares one member of each key with those members that are not yet in its
     component. Keys whose members are then still apart are settled in full: their members
-    outside the largest component of a cluster are compared with all its members. For that
-    the cluster is folded into rows of bounded size, which meet one member at a time, so
-    no pair becomes a row unless it is a link, and pairs within a component never meet.
+    outside the largest component of a cluster are compared with all its members, block by
+    block: each pair of blocks is one small group of its own, and no pair becomes a row
+    unless it is a link. ``native`` does this without Python.
     """
     sizes = sets.select("id", F.size("items").alias("n"))
     links, groups = None, None
@@ -99,7 +101,7 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
             still = stored(here.join(leads.select("key", "lead"), "key"), label)
             if still.isEmpty():
                 break
-            found = _settled(still, sets, percent, label)
+            found = _settled(still, sets, percent, label, native)
         else:
             pairs = (apart.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
                      .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
@@ -119,30 +121,67 @@ def _alike(x, y, percent: int):
     return 100 * common >= percent * (F.size(x) + F.size(y) - common)
 
 
-def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """All links across components of ``still(key, id, component, lead)``, from outside the
-    largest component of each cluster of keys."""
+def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str, native: bool) -> DataFrame:
+    """Links across components of ``still(key, id, component, lead)``, from outside the
+    largest component of each cluster of keys; at least one for each linked component."""
     clusters = components(still.select(F.col("id").alias("a"), F.col("lead").alias("b")), label)
     members = stored(
         still.select("id", "component").distinct()
         .join(clusters.withColumnRenamed("component", "cluster"), "id").join(sets, "id")
         .withColumn("n", F.size("items")), label)
-    parts = members.groupBy("cluster", "component").agg(F.count("*").alias("members"))
-    largest = parts.groupBy("cluster").agg(F.max_by("component", "members").alias("largest"))
-    totals = (members.groupBy("cluster").agg(F.sum("n").alias("total"))
-              .select("cluster", F.ceil(F.col("total") / BLOCK_ITEMS).alias("blocks")).join(largest, "cluster"))
-    members = members.join(totals, "cluster")
-    folded = (members.withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-              .groupBy("cluster", "block")
-              .agg(F.collect_list(F.struct("id", "component", "n", "items")).alias("others")))
-    outside = members.where("component <> largest")
+    parts = members.groupBy("cluster", "component").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
+    totals = parts.groupBy("cluster").agg(
+        F.max_by("component", "members").alias("largest"), F.max_by("n", "members").alias("n_largest"), F.sum("n").alias("n_all"))
+    totals = totals.select(
+        "cluster", "largest", F.ceil(F.col("n_all") / BLOCK_ITEMS).alias("blocks"),
+        F.ceil((F.col("n_all") - F.col("n_largest")) / BLOCK_ITEMS).alias("outer")).where("outer > 0")
+    members = members.join(totals, "cluster").withColumns(
+        {"block": F.pmod(F.xxhash64("id"), "blocks"), "row": F.pmod(F.xxhash64("id", F.lit(1)), "outer")})
+    outside = members.where("component <> largest").withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    if native:
+        return _settled_in_sql(outside, members, percent)
+    other = members.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outer") - 1)))
+    place, columns = ["cluster", "block", "row"], ["cluster", "block", "row", "id", "component", "n", "items"]
+    return (outside.select(columns).groupBy(*place).cogroup(other.select(columns).toDF(*columns).groupBy(*place))
+            .applyInPandas(lambda x, y: _links_of_blocks(x, y, percent), "a long, b long"))
+
+
+def _links_of_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links from each row of ``x`` to each other component in ``y``, one of each."""
+    if not len(x) or not len(y):
+        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+    vx, vy = (np.concatenate(f["items"].to_numpy()) for f in (x, y))
+    both = np.intersect1d(vx, vy)
+    common = np.zeros((len(x), len(y)), np.float32)
+    for start in range(0, len(both), 2048):
+        part = both[start:start + 2048]
+        marks = []
+        for f, v in ((x, vx), (y, vy)):
+            at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            hit = part[at] == v
+            mark = np.zeros((len(f), len(part)), np.float32)
+            mark[np.repeat(np.arange(len(f)), f["n"].to_numpy())[hit], at[hit]] = 1
+            marks.append(mark)
+        common += marks[0] @ marks[1].T
+    total = x["n"].to_numpy()[:, None] + y["n"].to_numpy()[None, :] - common
+    alike = (100 * common >= percent * total) & (x["component"].to_numpy()[:, None] != y["component"].to_numpy()[None, :])
+    i, j = np.nonzero(alike)
+    found = pd.DataFrame({"a": x["id"].to_numpy()[i], "b": y["id"].to_numpy()[j], "to": y["component"].to_numpy()[j]})
+    return found.drop_duplicates(["a", "to"])[["a", "b"]]
+
+
+def _settled_in_sql(outside: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """As above: each block is folded into one row, which the members meet one at a time."""
+    folded = members.groupBy("cluster", "block").agg(
+        F.collect_list(F.struct("id", "component", "n", "items")).alias("others"))
 
     def linked_to(other):
         return ((other["component"] != F.col("component"))
                 & (100 * F.least(other["n"], F.col("n")) >= percent * F.greatest(other["n"], F.col("n")))
                 & _alike(other["items"], F.col("items"), percent))
 
-    met = outside.join(folded, "cluster").select(
+    met = outside.join(folded, ["cluster", "block"]).select(
         F.col("id").alias("a"), F.transform(F.filter("others", linked_to), lambda o: o["id"]).alias("to"))
     return met.where(F.size("to") > 0).select("a", F.explode("to").alias("b"))
 

@@ -10,25 +10,24 @@ def words(text):
 
 def brute(docs, items):
     """All alignments that share a seed, by slicing."""
+    seeds = {}
+    for i, item in items:
+        v = words(item)
+        for m in (MASKS if len(v) >= SPAN else ["1" * len(v)] if len(v) >= 8 else []):
+            for q in range(len(v) - len(m) + 1):
+                seeds.setdefault((m, *(v[q + k] for k in range(len(m)) if m[k] == "1")), []).append((i, q, v))
     out = set()
     for d, text in docs:
         w = words(text)
-        for i, item in items:
-            v = words(item)
-            if len(v) < 8:
-                continue
-            masks = MASKS if len(v) >= SPAN else ["1" * len(v)]
-            for p in range(len(w)):
-                for q in range(len(v)):
-                    for m in masks:
-                        if p + len(m) <= len(w) and q + len(m) <= len(v) and all(
-                                w[p + k] == v[q + k] for k in range(len(m)) if m[k] == "1"):
-                            s = p - q
-                            same = [w[s + k] == v[k] for k in range(len(v)) if 0 <= s + k < len(w)]
-                            best = max(((sum(same[a:b]) - 2 * (b - a - sum(same[a:b])), sum(same[a:b]))
-                                        for a in range(len(same)) for b in range(a + 1, len(same) + 1)))
-                            if best[1] >= min(13, len(v)) and best[0] >= min(10, len(v)):
-                                out.add((d, i))
+        for m in {key[0] for key in seeds}:
+            for p in range(len(w) - len(m) + 1):
+                for i, q, v in seeds.get((m, *(w[p + k] for k in range(len(m)) if m[k] == "1")), []):
+                    s = p - q
+                    same = [w[s + k] == v[k] for k in range(len(v)) if 0 <= s + k < len(w)]
+                    best = max(((sum(same[a:b]) - 2 * (b - a - sum(same[a:b])), sum(same[a:b]))
+                                for a in range(len(same)) for b in range(a + 1, len(same) + 1)))
+                    if best[1] >= min(13, len(v)) and best[0] >= min(10, len(v)):
+                        out.add((d, i))
     return out
 
 
