@@ -59,10 +59,16 @@ def resolve(schema: T.StructType, path: str) -> Resolved | None:
     return Resolved(tuple(names), position, dtype)
 
 
-def safe_col(schema: T.StructType, path: str, dtype: str | T.DataType = "string") -> Column:
-    """The column at ``path``, or a null of type ``dtype`` where the schema lacks it."""
+def safe_col(schema: T.StructType, path: str, dtype: str | T.DataType | None = None) -> Column:
+    """The column at ``path``, or a null where the schema lacks it.
+
+    With ``dtype`` the column has that type either way, and values that do not fit it are
+    null; without, a found column stays as it is and a missing one is text.
+    """
     found = resolve(schema, path)
-    return found.column() if found else F.lit(None).cast(dtype)
+    if not found:
+        return F.lit(None).cast(dtype or "string")
+    return found.column().try_cast(dtype) if dtype else found.column()
 
 
 def leaf_paths(schema: T.StructType) -> list[tuple[tuple[str, ...], T.DataType]]:

@@ -40,20 +40,22 @@ def extremes_report(df: DataFrame, stats: Sequence[tuple[str, str, str]] = READI
 
     All maxima come from one pass: a struct compares field by field, so the greatest
     ``(value, *keys)`` is the maximum together with its row. ``overrides`` replaces
-    the sentinels for single columns. A column without any reading gives nulls.
+    the sentinels for single columns. A column without any reading gives nulls. Rows are
+    compared by the column as it is; only the shown value has the type common to all.
     """
     sentinels = tuple(sentinels)
     picked = []
-    for _, column, _ in stats:
+    for place, (_, column, _) in enumerate(stats):
         valid = is_reading(df, column, (overrides or {}).get(column, sentinels))
-        row = F.struct(F.col(quoted(column)).cast("double").alias("value"),
-                       *[F.col(quoted(k)) for k in keys])
-        picked.append(F.max(F.when(valid, row)).alias(column))
+        row = F.struct(F.col(quoted(column)).alias("value"), *[F.col(quoted(k)) for k in keys])
+        picked.append(F.max(F.when(valid, row)).alias(f"_top_{place}"))
+    kinds = {df.schema[column].dataType.simpleString() for _, column, _ in stats if column in df.columns}
+    shown = kinds.pop() if len(kinds) == 1 else "double"
     rows = F.array(*[
         F.struct(F.lit(description).alias("description"), F.lit(column).alias("column_name"),
-                 *[F.col(f"{quoted(column)}.{quoted(k)}").alias(k) for k in keys],
-                 F.col(f"{quoted(column)}.value").alias("value"), F.lit(unit).alias("units"))
-        for description, column, unit in stats])
+                 *[F.col(f"_top_{place}.{quoted(k)}").alias(k) for k in keys],
+                 F.col(f"_top_{place}.value").cast(shown).alias("value"), F.lit(unit).alias("units"))
+        for place, (description, column, unit) in enumerate(stats)])
     return df.agg(*picked).select(F.inline(rows))
 
 

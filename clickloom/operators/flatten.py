@@ -26,10 +26,13 @@ def flatten_event(events: DataFrame, zone: str = LOCAL_ZONE, *, basis: str = "ra
 
 
 def add_safe_columns(df: DataFrame, columns: Mapping[str, str | tuple[str, str]]) -> DataFrame:
-    """Add ``{name: path}`` or ``{name: (path, type)}``; absent paths give typed nulls."""
+    """Add ``{name: path}`` or ``{name: (path, type)}``.
+
+    With a type the column always has it; without, an absent path gives a text null.
+    """
     added = {}
     for name, spec in columns.items():
-        path, dtype = (spec, "string") if isinstance(spec, str) else spec
+        path, dtype = (spec, None) if isinstance(spec, str) else spec
         added[name] = safe_col(df.schema, path, dtype)
     return df.withColumns(added)
 

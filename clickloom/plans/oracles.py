@@ -184,6 +184,10 @@ _RECONCILE_EVENTS = _metrics(
         (f"{p}_null_pk_count", "count(*) FILTER (WHERE event_id IS NULL)") for p in ("DL", "DW")],
     "events", line=True)
 
+# One file per source and day, with a line of one byte for each event.
+_SMALL_DAY_FILES = f"""
+    SELECT event_type AS source, {_DAY_MS} AS day_ms, count(*) + 1 AS length FROM events GROUP BY ALL"""
+
 _SESSIONS_30M = _sessions("user_id", "ts", "events", 1800, "user_id")
 
 ORACLES = {
@@ -233,12 +237,13 @@ ORACLES = {
                  o_orderpriority DESC
         LIMIT 1""",
     "extremes_of_lines": _EXTREMES_OF_LINES,
-    "extremes_from_csv": """
-        SELECT 'Highest order' AS description, 'o_totalprice' AS column_name, o_orderkey,
-               o_orderpriority, 'USD' AS units,
-               concat('Highest order: order ', o_orderkey, ' (', o_orderpriority, ')') AS line
-        FROM orders WHERE o_totalprice NOT IN (99.99, 999.9, 9999.9)
-        ORDER BY o_totalprice DESC, o_orderkey DESC, o_orderpriority DESC LIMIT 1""",
+    "extremes_from_csv": " UNION ALL ".join(f"""
+        (SELECT '{name}' AS description, '{column}' AS column_name, o_orderkey,
+                o_orderpriority, CAST({column} AS DOUBLE) AS value, '{unit}' AS units,
+                concat('{name}: order ', o_orderkey, ' (', o_orderpriority, ')') AS line
+         FROM orders WHERE {column} NOT IN (99.99, 999.9, 9999.9)
+         ORDER BY {column} DESC, o_orderkey DESC, o_orderpriority DESC LIMIT 1)"""
+        for name, column, unit in (("Highest order", "o_totalprice", "USD"), ("Highest customer", "o_custkey", ""))),
     "reconcile_events": _RECONCILE_EVENTS,
     "reconcile_sessions": _metrics(
         [(f"{p}_{m}_count", "count(*)") for p in ("DL", "DW") for m in ("pk", "total_row")],
@@ -267,12 +272,26 @@ ORACLES = {
         users AS (SELECT DISTINCT user_id FROM present)
         SELECT user_id, day_ms FROM users, calendar EXCEPT SELECT user_id, day_ms FROM present""",
     "day_folder_status": f"""
-        WITH days AS (SELECT DISTINCT {_DAY_MS} AS day_ms FROM events),
+        WITH files AS ({_SMALL_DAY_FILES}),
+        days AS (SELECT day_ms, count(*) AS n, round(sum(length) / 1024.0, 2) AS kb FROM files GROUP BY ALL),
         calendar AS (SELECT unnest(generate_series(min(day_ms), max(day_ms) + 86400000, 86400000))
-                     AS day_ms FROM days)
-        SELECT day_ms, CASE WHEN day_ms IN (SELECT day_ms FROM days) THEN 'loaded'
-                            ELSE 'empty' END AS status
-        FROM calendar""",
+                     AS day_ms FROM days),
+        judged AS (
+            SELECT day_ms, coalesce(n, 0) AS n_files, CAST(coalesce(kb, 0) AS DOUBLE) AS size_kb,
+                   CASE WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status
+            FROM calendar LEFT JOIN days USING (day_ms))
+        SELECT *, concat(day_ms, ': ', n_files, ' files, ', size_kb, ' KB, ', status) AS line FROM judged""",
+    "inventory_total": f"""
+        SELECT concat('source=', source) AS source, count(*) AS n_files,
+               CAST(round(sum(length) / 1024.0, 2) AS DOUBLE) AS size_kb
+        FROM ({_SMALL_DAY_FILES}) GROUP BY ALL""",
+    "last_day_files": f"""
+        SELECT concat('source=', source, '/day_ms=', day_ms) AS folder, length
+        FROM ({_SMALL_DAY_FILES}) ORDER BY source DESC, day_ms DESC LIMIT 5""",
+    "events_of_days": f"""
+        SELECT way, concat('m-', event_id) AS "messageId"
+        FROM events, (VALUES ('folders'), ('filter')) AS w(way)
+        WHERE {_DAY_MS} IN (1704240000000, 1704326400000, 1704844800000)""",
     "event_folder_names": f"""
         SELECT DISTINCT 1 AS level, concat('source=', event_type) AS folder FROM events
         UNION ALL SELECT DISTINCT 2, concat('day_ms=', {_DAY_MS}) FROM events""",

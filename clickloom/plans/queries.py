@@ -18,11 +18,12 @@ from clickloom.plans.tables import day_log, event_log, table
 from clickloom.schemas import METRIC_SCHEMA
 from clickloom.session import scratch_path
 from clickloom.sources.events import (
-    infer_schema, load_schema, metric_preview, read_events, read_events_any_case, read_readings,
+    day_paths, infer_schema, load_schema, metric_preview, read_events, read_events_any_case, read_readings,
     save_schema)
-from clickloom.sources.files import file_inventory, folder_names, folder_volume, last_files, volume
+from clickloom.sources.files import (
+    file_inventory, folder_names, folder_volume, last_files, relative_path, volume)
 from clickloom.sources.writers import read_back, write_counted, write_table
-from clickloom.streaming.ingest import ingest_available, read_ingested
+from clickloom.streaming.ingest import file_stream, ingest_available, read_ingested
 from clickloom.streaming.sessions import stream_sessions, write_available
 
 # The 28 flat columns without the two retained structs.
@@ -53,6 +54,20 @@ def _day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
     return path
 
 
+def _small_day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """``source=/day_ms=`` folders with one line for each, as long as its number of events.
+
+    For questions about names and sizes: one row per source and day, not the whole log.
+    """
+    path = scratch_path(spark, label)
+    events = table(spark, sf_dir, "events")
+    days = events.groupBy(F.col("event_type").alias("source"), day_ms(events, "ts").alias("day_ms")).agg(
+        F.count(F.lit(1)).alias("n"))
+    write_table(days.select("source", "day_ms", F.expr("repeat('x', CAST(n AS INT))").alias("value")), path,
+                "text", partition_by=["source", "day_ms"], rebalance=True)
+    return path
+
+
 # -- sessions ---------------------------------------------------------------
 
 
@@ -211,9 +226,10 @@ def extremes_from_csv(spark, sf_dir):
     write_table(orders, path, "csv", options={"header": "true"})
     readings = read_readings(spark, path, orders.schema)
     report = extremes_report(
-        readings, [("Highest order", "o_totalprice", "USD")], ["o_orderkey", "o_orderpriority"])
+        readings, [("Highest order", "o_totalprice", "USD"), ("Highest customer", "o_custkey", "")],
+        ["o_orderkey", "o_orderpriority"])
     return with_text(report, "%s: order %d (%s)",
-                     ["description", "o_orderkey", "o_orderpriority"]).drop("value")
+                     ["description", "o_orderkey", "o_orderpriority"])
 
 
 # -- reconciliation ---------------------------------------------------------
@@ -291,25 +307,40 @@ def missing_user_days(spark, sf_dir):
 
 def day_folder_status(spark, sf_dir):
     """Status of every day from the first folder to one day past the last."""
-    root = _day_folders(spark, sf_dir, "status")
-    folders = folder_volume(file_inventory(spark, root, "*.json"), root, level=2)
-    return day_status(folders, last=next_day(F.max("day_ms"))).select("day_ms", "status")
+    root = _small_day_folders(spark, sf_dir, "status")
+    folders = folder_volume(file_inventory(spark, root, "*.txt", hidden=False), root, level=2)
+    return day_status(folders, last=next_day(F.max("day_ms")))
 
 
 def event_folder_names(spark, sf_dir):
-    root = _day_folders(spark, sf_dir, "folders")
-    files = file_inventory(spark, root, "*.json")
+    root = _small_day_folders(spark, sf_dir, "folders")
+    files = file_inventory(spark, root, "*.txt", hidden=False)
     levels = [folder_names(files, root, n).select(F.lit(n).alias("level"), "folder") for n in (1, 2)]
     return levels[0].unionByName(levels[1])
 
 
 def inventory_total(spark, sf_dir):
-    return volume(file_inventory(spark, sf_dir, "*.parquet"))
+    """Files and kilobytes of the day folders of each source."""
+    root = _small_day_folders(spark, sf_dir, "total")
+    files = file_inventory(spark, root, "*.txt", hidden=False)
+    return volume(files.withColumn("source", F.split(relative_path(root), "/")[0]), "source")
 
 
 def last_day_files(spark, sf_dir):
-    root = _day_folders(spark, sf_dir, "last")
-    return last_files(file_inventory(spark, root, "*.json")).select("path", "length")
+    """Folder and size of the five last files by path."""
+    root = _small_day_folders(spark, sf_dir, "last")
+    files = last_files(file_inventory(spark, root, "*.txt", hidden=False))
+    return files.select(F.regexp_extract(relative_path(root), "^(.*)/", 1).alias("folder"), "length")
+
+
+def events_of_days(spark, sf_dir):
+    """Two ways to read some days of a log: by their folders, and by a folder filter."""
+    root = _day_folders(spark, sf_dir, "days")
+    days = [1704067200000 + d * 86_400_000 for d in (2, 3, 9)]
+    by_path = read_events(spark, day_paths(root, [f"day_ms={day}" for day in days]))
+    by_filter = read_events(spark, root).filter(F.col("day_ms").isin(days))
+    return by_path.select(F.lit("folders").alias("way"), "messageId").unionByName(
+        by_filter.select(F.lit("filter").alias("way"), "messageId"))
 
 
 def metric_file_preview(spark, sf_dir):
@@ -355,7 +386,7 @@ def stream_user_sessions(spark, sf_dir):
         (F.max("ts") + F.expr("INTERVAL 10 YEARS")).alias("ts"))
     for delivery in (events, closing):
         write_table(delivery, source, mode="append")
-        stream = spark.readStream.schema(events.schema).parquet(source)
+        stream = file_stream(spark, events.schema).parquet(source)
         write_available(stream_sessions(stream, "user_id", "ts"), target, checkpoint)
     return spark.read.parquet(target).filter("user_id >= 0")
 
@@ -369,6 +400,6 @@ QUERIES = {query.__name__: query for query in (
     reconcile_events, reconcile_sessions, compare_users, daily_load_metrics,
     csv_roundtrip, gzip_json_roundtrip, distinct_types,
     day_volume, missing_user_days, day_folder_status, event_folder_names, inventory_total,
-    last_day_files, metric_file_preview,
+    last_day_files, events_of_days, metric_file_preview,
     ingest_daily_stream, stream_user_sessions,
 )}

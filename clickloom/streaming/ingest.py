@@ -1,11 +1,15 @@
-"""Incremental ingest: each new file once, whatever fails in between."""
+"""Incremental ingest: each new file once, however old, whatever fails in between."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from clickloom.operators.flatten import flatten_event
 from clickloom.operators.reconcile import reconcile
@@ -14,23 +18,58 @@ from clickloom.sources.events import join_path
 from clickloom.sources.writers import read_back, write_table
 
 
+# By default the file source never loads a file that is a week older than the newest one.
+ANY_AGE = "36500d"
+
+
+def file_stream(spark: SparkSession, schema: T.StructType | str) -> DataStreamReader:
+    """A reader of new files that skips none for its modification time."""
+    return spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
+
+
+def _query_of(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the query that a checkpoint belongs to, if it has been used."""
+    try:
+        return json.loads(spark.read.text(join_path(checkpoint, "metadata")).first()[0])["id"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _queries_in(spark: SparkSession, target: str, schema: T.StructType) -> set[str]:
+    try:
+        loaded = read_back(spark, target, schema, "parquet")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {r[0] for r in loaded.select("query").distinct().collect()} if "query" in loaded.columns else set()
+
+
 def ingest_available(spark: SparkSession, source: str, target: str, metrics: str, checkpoint: str,
                      *, schema: T.StructType | None = None, pk: str = "messageId",
                      transform: Callable[[DataFrame], DataFrame] = flatten_event,
                      partition_by: Sequence[str] = ("ymd",), max_files: int | None = None) -> None:
     """Load all files below ``source`` that no earlier call has loaded, then return.
 
-    Every micro-batch overwrites its own ``batch_id=`` folder of ``target`` (Parquet,
-    see :func:`read_ingested`) and ``metrics`` (JSON). A batch repeated after a failure
-    therefore replaces its own output, and the checkpoint moves on only after both
-    writes succeeded. ``partition_by`` lays out the folders inside a batch.
+    Every micro-batch overwrites its own ``query=/batch_id=`` folder of ``target`` (Parquet,
+    see :func:`read_ingested`) and ``metrics`` (JSON), where the query is the one of the
+    checkpoint. A batch repeated after a failure therefore replaces its own output, and the
+    checkpoint moves on only after both writes succeeded. A target with folders of another
+    checkpoint is refused: its files would be loaded twice. ``partition_by`` lays out the
+    folders inside a batch.
     """
-    reader = spark.readStream.schema(schema or event_schema())
+    flat = transform(spark.createDataFrame([], schema or event_schema())).schema
+    others = _queries_in(spark, target, flat) - {_query_of(spark, checkpoint)}
+    if others:
+        raise ValueError(f"{target} was filled with another checkpoint, by {sorted(others)}")
+    reader = file_stream(spark, schema or event_schema())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        folder = f"batch_id={batch_id}"
+        folder = f"query={_query_of(spark, checkpoint)}/batch_id={batch_id}"
         events = transform(batch)
         # Static: the whole folder is replaced, whatever days a failed attempt left in it.
         write_table(events, join_path(target, folder), "parquet", partition_by=partition_by,

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from clickloom.functions.calendar import instant_of, utc_clock_of
 from clickloom.functions.paths import quoted
 
-_MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-
 
 def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30,
                     delay: str = "1 hour") -> DataFrame:
@@ -18,11 +16,9 @@ def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30
     ``events`` is a stream; for a table use :func:`session_table`. A session is emitted
     once the watermark (newest event minus ``delay``) has passed its end, so the newest
     session stays open until later events arrive. Events without a time belong to no
-    window. The gap is exact here, not floored to whole seconds.
+    window. The gap is exact here, not floored to whole seconds. Events older than the
+    watermark are left out by Spark; :func:`write_available` counts them.
     """
-    # Each task merges its own sessions before the shuffle: a hot user then sends one
-    # row per session and task instead of one per event.
-    events.sparkSession.conf.set(_MERGE_BEFORE_SHUFFLE, "true")
     # Watermarks need a zoned timestamp.
     zoned = events.select(
         F.col(quoted(user)), instant_of(events, ts).alias("_moment"))
@@ -36,8 +32,31 @@ def stream_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30
         utc_clock_of(sessions, "_last").alias("last_event_at"), "n_events")
 
 
-def write_available(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append what a stream has ready to a Parquet table and return."""
-    (stream.writeStream.format("parquet").outputMode("append").option("path", target)
-     .option("checkpointLocation", checkpoint).trigger(availableNow=True)
-     .start().awaitTermination())
+class LateRows(ValueError):
+    """Rows came later than the watermark allows and are not in the target."""
+
+
+def write_available(stream: DataFrame, target: str, checkpoint: str, *, allow_late: bool = False) -> int:
+    """Append what a stream has ready to a Parquet table; returns the late rows left out.
+
+    Spark drops rows behind the watermark without an error. They are counted over all
+    batches of the run, and :class:`LateRows` is raised unless ``allow_late`` is set.
+    Partial sessions merged before the shuffle count as one row each.
+    """
+    late: dict[int, int] = {}
+
+    def note(progress: list[dict]) -> None:
+        for batch in progress:
+            late[batch["batchId"]] = sum(
+                state["numRowsDroppedByWatermark"] for state in batch["stateOperators"])
+
+    query = (stream.writeStream.format("parquet").outputMode("append").option("path", target)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    # Spark keeps the latest progress reports only, so they are read along the way.
+    while not query.awaitTermination(5):
+        note(query.recentProgress)
+    note(query.recentProgress)
+    dropped = sum(late.values())
+    if dropped and not allow_late:
+        raise LateRows(f"{dropped} rows were behind the watermark; raise the delay or allow them")
+    return dropped

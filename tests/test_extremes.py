@@ -67,3 +67,16 @@ def test_csv_with_given_and_inferred_schema(spark, readings, tmp_path):
 def test_integer_columns(spark):
     df = spark.createDataFrame([(1, 5), (2, 7), (3, 99)], "k INT, v INT")
     assert largest(df, "v", ["k"], sentinels=[99]).first().k == 2
+
+
+def test_large_numbers_decimals_and_two_statistics_of_one_column(spark):
+    from decimal import Decimal
+    big = 2 ** 53
+    df = spark.createDataFrame(
+        [(1, big + 1, Decimal("0.10000000000000000002")), (2, big, Decimal("0.10000000000000000001"))],
+        "k INT, v BIGINT, d DECIMAL(38,20)")
+    report = extremes_report(df, [("A", "v", ""), ("B", "v", "")], ["k"], sentinels=[]).collect()
+    assert [(r.description, r.k, r.value) for r in report] == [("A", 1, big + 1), ("B", 1, big + 1)]
+    assert largest(df, "v", ["k"], sentinels=[]).first().k == 1
+    top = extremes_report(df, [("D", "d", "")], ["k"], sentinels=[]).first()
+    assert (top.k, top.value) == (1, Decimal("0.10000000000000000002"))

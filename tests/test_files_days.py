@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.days import day_status, missing_days, next_day
 from clickloom.sources.files import (
-    file_inventory, folder_names, folder_volume, last_files, relative_path, volume)
+    file_inventory, folder_names, folder_volume, last_files, odd_folders, relative_path, volume)
 
 DAY = 86_400_000
 FIRST, LAST = 1652313600000, 1664755200000
@@ -82,3 +82,48 @@ def test_145_contiguous_days(spark):
     assert days.agg(F.max("day_ms")).first()[0] == LAST
     assert missing_days(days).isEmpty()
     assert missing_days(days.filter(F.col("day_ms") != LAST), last=LAST).first().day_ms == LAST
+
+
+def test_inventory_holds_files_of_any_name_and_size(spark, tmp_path, monkeypatch):
+    import os
+    day = tmp_path / "log" / str(FIRST)
+    day.mkdir(parents=True)
+    for name, text in (("a.json", "xx"), ("empty.json", ""), ("_SUCCESS", ""), ("_x.json", "y"), (".h.json", "z")):
+        (day / name).write_text(text)
+    only_empty = tmp_path / "log" / str(FIRST + DAY)
+    only_empty.mkdir()
+    (only_empty / "e.gz").write_text("")
+    (tmp_path / "log" / "_tmp").mkdir()
+    (tmp_path / "log" / "_tmp" / "b.json").write_text("b")
+    root = str(tmp_path / "log")
+    walked = {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(root) for f in files}
+    got = {r.path.removeprefix("file:"): r.length for r in file_inventory(spark, root).collect()}
+    assert got == walked
+    assert file_inventory(spark, root, hidden=False).count() == 3
+    assert file_inventory(spark, root, "*.json").count() == 5
+    counts = {r.day_ms: r.n_files for r in folder_volume(file_inventory(spark, root), root).collect()}
+    assert counts == {FIRST: 5, FIRST + DAY: 1}
+
+
+def test_roots_in_any_spelling_and_foreign_paths(spark, root):
+    files = file_inventory(spark, root)
+    for spelled in (root.replace("/segment", "//segment"), root + "//", "file://" + root):
+        assert {r.folder for r in folder_names(files, spelled).collect()} == {"s1", "s2"}
+    for foreign in (root + "/s1", root + "/s*", "segment logs"):
+        with pytest.raises(Exception, match="not below"):
+            folder_names(files, foreign).collect()
+
+
+def test_only_midnights_are_days(spark):
+    names = [str(FIRST), f"day_ms={FIRST + DAY}", "backup_2", "2", str(FIRST + 1), "2024"]
+    files = spark.createDataFrame([(f"/r/{n}/a", 1, None) for n in names], "path STRING, length BIGINT, m STRING")
+    assert sorted(r.day_ms for r in folder_volume(files, "/r").collect()) == [FIRST, FIRST + DAY]
+    assert {r.folder for r in odd_folders(files, "/r").collect()} == set(names[2:])
+    with pytest.raises(Exception, match="no midnight"):
+        missing_days(spark.createDataFrame([(FIRST + 2,)], "day_ms BIGINT")).collect()
+
+
+def test_keys_without_a_day_and_bounds_off_midnight(spark):
+    keyed = spark.createDataFrame([("a", FIRST), ("c", None)], "k STRING, day_ms BIGINT")
+    got = missing_days(keyed, ["k"], first=FIRST - 5, last=FIRST + DAY + 5).collect()
+    assert sorted(map(tuple, got)) == [("a", FIRST + DAY), ("c", FIRST), ("c", FIRST + DAY)]

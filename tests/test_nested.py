@@ -170,3 +170,10 @@ def test_sql_view_and_not_null_count(spark, log):
         assert [r.messageid for r in top.collect()] == ["m1", "m2", "m4"]
         assert not_null_count(events, "properties.action.hospital").first().n == 3
     assert not events.is_cached
+
+
+def test_declared_type_holds_for_found_and_absent_paths(spark):
+    df = spark.createDataFrame([("7",), ("x",)], "v STRING")
+    out = add_safe_columns(df, {"n": ("v", "bigint"), "m": ("none", "bigint"), "t": "v"})
+    assert dict(out.dtypes) == {"v": "string", "n": "bigint", "m": "bigint", "t": "string"}
+    assert [r.n for r in out.collect()] == [7, None]

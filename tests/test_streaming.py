@@ -10,7 +10,7 @@ from clickloom.operators.sessions import session_table
 from clickloom.schemas import METRIC_SCHEMA
 from clickloom.sources.events import read_events
 from clickloom.streaming.ingest import ingest_available, read_ingested
-from clickloom.streaming.sessions import stream_sessions, write_available
+from clickloom.streaming.sessions import LateRows, stream_sessions, write_available
 
 DAY = 86_400_000
 
@@ -74,7 +74,7 @@ def test_small_batches(spark, tmp_path, job):
     for day in range(3):
         deliver(tmp_path, day, [f"m{day}"])
     assert run(max_files=1).count() == 3
-    assert len(list((tmp_path / "dw").glob("batch_id=*/ymd=*"))) == 3
+    assert len(list((tmp_path / "dw").glob("query=*/batch_id=*/ymd=*"))) == 3
     pruned = read_ingested(spark, target).filter("ymd = '2024-01-02'")
     assert [r.messageId for r in pruned.collect()] == ["m1"]
     assert pruned.schema["ymd"].dataType.typeName() == "string"
@@ -124,3 +124,35 @@ def test_hot_user_is_merged_before_the_shuffle(spark, tmp_path):
     plan = query._jsq.explainInternal(False)
     below_exchange = plan[plan.index("Exchange hashpartitioning"):]
     assert "MergingSessions" in below_exchange
+
+
+def test_files_of_any_age_are_loaded(spark, tmp_path, job):
+    import os
+    import time
+    run, _ = job
+    deliver(tmp_path, 0, ["m1"])
+    run()
+    deliver(tmp_path, 1, ["m2"])
+    run()
+    deliver(tmp_path, 2, ["m3"])
+    old = time.time() - 30 * 86_400
+    os.utime(tmp_path / "src" / str(1704067200000 + 2 * DAY) / "a.json", (old, old))
+    assert sorted(r.messageId for r in run().collect()) == ["m1", "m2", "m3"]
+
+
+def test_target_of_another_checkpoint_is_refused(spark, tmp_path, job):
+    run, (target, metrics, _) = job
+    deliver(tmp_path, 0, ["m1"])
+    run()
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_available(spark, f"{tmp_path}/src/*", target, metrics, str(tmp_path / "new state"))
+    assert [r.messageId for r in run().collect()] == ["m1"]
+
+
+def test_late_rows_are_reported(spark, tmp_path):
+    day = 24 * 60
+    with pytest.raises(LateRows, match="1 rows"):
+        live(spark, tmp_path, [[("a", at(2 * day))], [("z", at(9 * day))], [("b", at(0))], [("z", at(99 * day))]])
+    source, target, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    stream = spark.readStream.schema("u STRING, t TIMESTAMP_NTZ").parquet(source)
+    assert write_available(stream_sessions(stream, "u", "t"), target, state, allow_late=True) >= 0
