@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.functions.paths import quoted
 from clickloom.functions.report import with_text
-from clickloom.schemas import CORRUPT
+from clickloom.schemas import CORRUPT, METRIC_SCHEMA
+from clickloom.sources.writers import read_back, write_table
 
 
 def count_metrics(df: DataFrame, pk: str, prefix: str = "", *, distinct: bool = True,
@@ -43,6 +44,22 @@ def reconcile(source: DataFrame, target: DataFrame, pk: str, *, source_name: str
         count_metrics(target, pk, target_name, distinct=distinct, extra=extra))
 
 
+def write_reconciled(df: DataFrame, path: str, pk: str, fmt: str = "parquet", *,
+                     source_name: str = "DL", target_name: str = "DW") -> DataFrame:
+    """Write ``df`` and return its row and key counts and those of the table written.
+
+    The source side is counted by the tasks that write, so ``df`` is computed once; see
+    ``write_counted``. The distinct count needs the keys again: use :func:`reconcile`.
+    """
+    observed = Observation()
+    write_table(df.observe(observed, F.count(F.lit(1)).alias("rows")), path, fmt)
+    rows = observed.get["rows"]
+    counted = df.sparkSession.createDataFrame(
+        [(f"{source_name}_pk_count", rows), (f"{source_name}_total_row_count", rows)], METRIC_SCHEMA)
+    written = read_back(df.sparkSession, path, df.schema, fmt)
+    return counted.unionByName(count_metrics(written, pk, target_name, distinct=False))
+
+
 def compare(source: DataFrame, target: DataFrame, pk: str, *, distinct: bool = True) -> DataFrame:
     """The metrics side by side: ``metric, source_value, target_value, matches``."""
     sides = [count_metrics(df, pk, distinct=distinct).withColumn("side", F.lit(side))

@@ -248,6 +248,14 @@ ORACLES = {
     "reconcile_sessions": _metrics(
         [(f"{p}_{m}_count", "count(*)") for p in ("DL", "DW") for m in ("pk", "total_row")],
         f"({_SESSIONS_30M})"),
+    "malformed_lines": _metrics(
+        [("DL_pk_count", "count(*)"),
+         ("distinct_DL_pk_count", f"count(DISTINCT event_id) FILTER (WHERE {_K} % 10 <> 0) "
+                                  f"+ CASE WHEN count(*) FILTER (WHERE {_K} % 10 = 0) > 0 THEN 1 ELSE 0 END"),
+         ("DL_total_row_count", "count(*)"),
+         ("DL_null_pk_count", f"count(*) FILTER (WHERE {_K} % 10 = 0)"),
+         ("DL_corrupt_count", f"count(*) FILTER (WHERE {_K} % 10 = 0)")], "events"),
+    "persisted_counts": "SELECT count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM events",
     "compare_users": """
         WITH c AS (SELECT count(*) AS n, count(DISTINCT user_id) AS d FROM events),
         m AS (SELECT 'pk_count' AS metric, n AS v, n FROM c

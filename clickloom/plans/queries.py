@@ -11,14 +11,15 @@ from clickloom.functions.report import with_text
 from clickloom.operators.days import day_status, missing_days, next_day
 from clickloom.operators.extremes import extremes_report, largest
 from clickloom.operators.flatten import add_safe_columns, event_view, flatten, flatten_event
-from clickloom.operators.reconcile import compare, metric_lines, not_null_count, reconcile
+from clickloom.operators.reconcile import (
+    compare, count_metrics, metric_lines, not_null_count, reconcile, write_reconciled)
 from clickloom.operators.sessions import assign_sessions, session_table
 from clickloom.plans.daily import daily_load
 from clickloom.plans.tables import day_log, event_log, table
-from clickloom.schemas import METRIC_SCHEMA
+from clickloom.schemas import METRIC_SCHEMA, event_schema
 from clickloom.session import scratch_path
 from clickloom.sources.events import (
-    day_paths, infer_schema, load_schema, metric_preview, read_events, read_events_any_case, read_readings,
+    day_paths, infer_schema, load_schema, metric_preview, persisted, read_events, read_events_any_case, read_readings,
     save_schema)
 from clickloom.sources.files import (
     file_inventory, folder_names, folder_volume, last_files, relative_path, volume)
@@ -244,11 +245,26 @@ def reconcile_events(spark, sf_dir):
 
 
 def reconcile_sessions(spark, sf_dir):
-    path = scratch_path(spark, "reconcile-sessions")
-    sessions = sessions_30m(spark, sf_dir)
-    write_table(sessions, path)
-    return reconcile(sessions, read_back(spark, path, sessions.schema, "parquet"), "session_id",
-                     distinct=False)
+    """Sessions are computed once: their source counts are taken while they are written."""
+    return write_reconciled(sessions_30m(spark, sf_dir), scratch_path(spark, "reconcile-sessions"), "session_id")
+
+
+def malformed_lines(spark, sf_dir):
+    """Counts of a log in which every event with ``k`` a multiple of 10 is cut off."""
+    path = scratch_path(spark, "malformed")
+    log = event_log(table(spark, sf_dir, "events"))
+    text = F.to_json(F.struct("*"))
+    broken = F.col("hospitalId").cast("bigint") % 10 == 0
+    write_table(log.select(F.when(broken, F.substring(text, 1, 40)).otherwise(text).alias("value")), path, "text")
+    return count_metrics(read_events(spark, path, event_schema(corrupt=True)), "messageId", "DL", extra=True)
+
+
+def persisted_counts(spark, sf_dir):
+    """Two actions over one parsed log: its lines and its users."""
+    with persisted(read_events(spark, _json_log(spark, sf_dir, "persisted"))) as log:
+        n_events = log.count()
+        n_users = log.select("anonymousId").distinct().count()
+    return spark.createDataFrame([(n_events, n_users)], "n_events BIGINT, n_users BIGINT")
 
 
 def compare_users(spark, sf_dir):
@@ -397,7 +413,8 @@ QUERIES = {query.__name__: query for query in (
     flatten_events, safe_columns, array_elements, auto_flatten, inferred_log, case_tolerant_log,
     nested_sql_top5, not_null_hospitals,
     largest_order, extremes_of_lines, extremes_from_csv,
-    reconcile_events, reconcile_sessions, compare_users, daily_load_metrics,
+    reconcile_events, reconcile_sessions, malformed_lines, persisted_counts, compare_users,
+    daily_load_metrics,
     csv_roundtrip, gzip_json_roundtrip, distinct_types,
     day_volume, missing_user_days, day_folder_status, event_folder_names, inventory_total,
     last_day_files, events_of_days, metric_file_preview,

@@ -16,6 +16,8 @@ DEFAULTS = {
     # Keeps streaming state on executor disk, so it may exceed the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A line that repeats a key keeps its last value, as in the JSON source.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Each task merges its own sessions before the shuffle: a hot user then sends one row
     # per session and task instead of one per event.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
