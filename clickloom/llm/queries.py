@@ -59,7 +59,56 @@ QUERIES = {q.__name__: q for q in (
     op1_repeat_index, op2_language_mixture, op3_token_lengths, op4_page_difference, op5_url_digests,
     op6_projection_forest, op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines)}
 
+
+
+def _mixture_sql(share: float, parts: int, turns: int, block: int) -> str:
+    """The mixture of op8: the exponent by ``turns`` grids of ``parts`` steps, then the passes."""
+    steps, low, high = [], "0.0::DOUBLE", "1.0::DOUBLE"
+    for k in range(turns):
+        bracket = f"SELECT {low} AS lo, {high} AS hi" + (f" FROM e{k - 1}" if k else "")
+        steps.append(f"""
+        b{k} AS ({bracket}),
+        e{k} AS (
+            SELECT coalesce(max(a) FILTER (WHERE entropy >= {share}::DOUBLE * ln(n) - 1e-12), 0) AS met,
+                   any_value(lo) AS lo, any_value(hi) AS hi
+            FROM (SELECT a, any_value(lo) AS lo, any_value(hi) AS hi, count(*) AS n,
+                         ln(sum(pow(p, a))) - a * sum(pow(p, a) * ln(p)) / sum(pow(p, a)) AS entropy
+                  FROM (SELECT tokens / total::DOUBLE AS p FROM src, tot),
+                       (SELECT lo, hi, lo + (hi - lo) * i / {parts}::DOUBLE AS a FROM b{k}, range({parts} + 1) AS r(i))
+                  GROUP BY a))""")
+        low, high = "met", f"least(1.0::DOUBLE, met + (hi - lo) / {parts}::DOUBLE)"
+    return f"""
+        WITH docs AS (
+            SELECT * FROM (
+                SELECT doc_id, source, CASE WHEN length(text) > 0 THEN len(string_split(text, ' ')) ELSE 0 END AS n_tokens
+                FROM documents) WHERE n_tokens > 0),
+        src AS (SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS docs FROM docs GROUP BY source),
+        tot AS (SELECT sum(tokens) AS total FROM src),{",".join(steps)},
+        powers AS (SELECT *, pow(tokens / total::DOUBLE, met) AS w FROM src, tot, e{turns - 1}),
+        plan AS (
+            SELECT source, tokens, CAST(ceil(docs / {block}.0) AS BIGINT) AS blocks,
+                   w / sum(w) OVER () * total::DOUBLE / tokens AS passes
+            FROM powers),
+        uses AS (
+            SELECT *, CAST('0x' || substr(key, 1, 8) AS BIGINT) % blocks AS block
+            FROM (SELECT d.*, tokens, passes, blocks, epoch,
+                         md5(concat_ws('-', coalesce(CAST(doc_id AS VARCHAR), 'null'), CAST(epoch AS VARCHAR))) AS key
+                  FROM docs d JOIN plan ON d.source IS NOT DISTINCT FROM plan.source,
+                       LATERAL (SELECT unnest(range(CAST(floor(passes) AS BIGINT) + 1)) AS epoch))),
+        placed AS (
+            SELECT *, epoch * tokens + coalesce(sum(n_tokens) OVER (
+                       PARTITION BY source, epoch ORDER BY block, key, doc_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place,
+                   passes * tokens AS quota
+            FROM uses)
+        SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epoch AS INTEGER) AS epoch, block,
+               round(CAST(place AS DOUBLE) / quota, 6) AS mix_at
+        FROM placed WHERE place < quota - 1e-6"""
+
+
 ORACLES = {
+    "op8_temperature_mix": _mixture_sql(
+        temperature_mix.ENTROPY, temperature_mix.PARTS, temperature_mix.TURNS, temperature_mix.BLOCK_DOCS),
     "op5_url_digests": r"""
         WITH p AS (
             SELECT page_id,
