@@ -65,8 +65,9 @@ def _fingerprint(edges: DataFrame):
 
 
 def shared_keys(keys: DataFrame, label: str) -> DataFrame:
-    """The rows of ``keys(key, id)`` whose key has at least two ids, written once."""
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    """The rows of ``keys(key, id)``, which has no row twice, whose key has at least two ids;
+    written once."""
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     return stored(keys.join(shared.select("key"), "key", "left_semi"), label)
 
 
@@ -79,7 +80,8 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
 
     Ids that share a key are linked if 100 * common >= ``percent`` * all elements of their
     two sets. ``keys(key, id)`` comes from :func:`shared_keys`; ``sets(id, items)`` holds
-    arrays of distinct longs.
+    arrays of distinct longs, with ``native`` also ``marks``: ids share a key only if they
+    share three marks, or all if they have fewer.
 
     Each round compares one member of each key with those members that are not yet in its
     component. Keys whose members are then still apart are settled in full: their members
@@ -106,7 +108,8 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
             pairs = (apart.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
                      .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
                      .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
-            found = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+            items = sets.select("id", "items")
+            found = (pairs.join(items.toDF("a", "sa"), "a").join(items.toDF("b", "sb"), "b")
                      .where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"))
         found = stored(found, label)
         if groups is not None and found.isEmpty():
@@ -174,11 +177,12 @@ def _links_of_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataF
 def _settled_in_sql(outside: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """As above: each block is folded into one row, which the members meet one at a time."""
     folded = members.groupBy("cluster", "block").agg(
-        F.collect_list(F.struct("id", "component", "n", "items")).alias("others"))
+        F.collect_list(F.struct("id", "component", "n", "items", "marks")).alias("others"))
 
     def linked_to(other):
         return ((other["component"] != F.col("component"))
                 & (100 * F.least(other["n"], F.col("n")) >= percent * F.greatest(other["n"], F.col("n")))
+                & (F.size(F.array_intersect(other["marks"], F.col("marks"))) >= F.least(F.lit(3), F.size("marks")))
                 & _alike(other["items"], F.col("items"), percent))
 
     met = outside.join(folded, ["cluster", "block"]).select(
