@@ -42,7 +42,7 @@ def components(links: DataFrame, label: str = "links") -> DataFrame:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.where("v > u").join(smallest, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u")
                  .select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
@@ -186,7 +186,9 @@ def _settled_in_sql(outside: DataFrame, members: DataFrame, percent: int) -> Dat
                 & _alike(other["items"], F.col("items"), percent))
 
     met = outside.join(folded, ["cluster", "block"]).select(
-        F.col("id").alias("a"), F.transform(F.filter("others", linked_to), lambda o: o["id"]).alias("to"))
+        F.col("id").alias("a"),
+        # a component is named by one of its ids, so that is the link to all of it
+        F.array_distinct(F.transform(F.filter("others", linked_to), lambda o: o["component"])).alias("to"))
     return met.where(F.size("to") > 0).select("a", F.explode("to").alias("b"))
 
 
