@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import LOWER, SPACE, slices, utf8
 
 BUCKETS = 1 << 17
-SAMPLE = 4000      # documents of each language that the tables are fitted on
+SAMPLE = 1000      # documents of each language that the tables are fitted on
 LARGEST_SET = 4    # languages that one document may mix
 STEPS = 12
 UNIT_WORDS = 4
