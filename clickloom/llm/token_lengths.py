@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import slices
+from clickloom.llm.common import slices, stored
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 1024
@@ -62,8 +62,8 @@ def length_histogram(counts: DataFrame) -> DataFrame:
     The sums run within blocks of 1,024 lengths plus the totals of the later blocks, so
     one task sorts at most 1,024 rows, or one row per block. An empty table gives none.
     """
-    histogram = (counts.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
-                 .withColumn("block", (F.col("n_tokens") / BLOCK).cast("long")))
+    histogram = stored(counts.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+                       .withColumn("block", (F.col("n_tokens") / BLOCK).cast("long")), "token-lengths")
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     blocks = histogram.groupBy("block").agg(
