@@ -70,3 +70,25 @@ def test_given_pages_keep_exactly_their_article(spark, sf_dir):
         wanted = [" ".join(html.unescape(re.sub(r"<br>", " ", b).replace("<b>", "").replace("</b>", "")).split()) for b in blocks]
         assert r.text == "\n".join(filter(None, wanted))
         assert r.n_chars == len(r.text)
+
+
+def test_copies_keep_their_text_wherever_the_order_is_cut(spark):
+    page = "<div>Menu</div><div>{}</div><div>Copyright</div>"
+    rows = [(1, "http://a.org/x/1", page.format("first")), (2, "http://a.org/x/2?x=1", page.format("copied")),
+            (3, "http://a.org/x/2?x=2", page.format("copied")), (3, "http://a.org/x/2?x=2", page.format("copied")),
+            (9, "http://c.org/1", page.format("only")), (10, "http://c.org/1?a", page.format("only"))]
+    rows += [(20 + k, f"http://b.org/{k:03}", page.format("many" if 5 < k < 40 else f"b{k}")) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    wanted = {1: "first", 2: "copied", 3: "copied", 9: "Menu\nonly\nCopyright", 10: "Menu\nonly\nCopyright"}
+    wanted.update({20 + k: "many" if 5 < k < 40 else f"b{k}" for k in range(60)})
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    for cuts in ("1", "3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", cuts)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            got = main_texts(df).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.enabled", old)
+        assert len(got) == len(rows)
+        assert {r.page_id: r.text for r in got} == wanted
