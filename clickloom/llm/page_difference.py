@@ -287,8 +287,6 @@ def _beyond(edges: list[dict]) -> dict:
 
 def _main_text(own: list, other: list | None) -> str:
     """Article lines, and the open lines that the other page does not share, in their order."""
-    if any(kind == "text" for kind, _ in own):
-        return "\n".join(line for kind, line in own if kind == "text")
     loose = [line for kind, line in own if kind == "open"]
     gone = shared_lines(loose, [line for kind, line in other if kind == "open"]) if other and loose else set()
     kept = iter([k not in gone for k in range(len(loose))])

@@ -92,3 +92,10 @@ def test_copies_keep_their_text_wherever_the_order_is_cut(spark):
             spark.conf.set("spark.sql.adaptive.enabled", old)
         assert len(got) == len(rows)
         assert {r.page_id: r.text for r in got} == wanted
+
+
+def test_open_lines_of_pages_with_an_article_are_aligned(spark):
+    page = "<div>Menu</div><p>{0} body</p><article>teaser {0}</article><p>{0} end</p><div>Copyright</div>"
+    rows = [(k, f"http://a.org/{k}", page.format(k)) for k in (1, 2)]
+    got = {r.page_id: r.text for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"{k} body\nteaser {k}\n{k} end" for k in (1, 2)}
