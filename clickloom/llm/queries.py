@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    fuzzy_lines, language_mixture, minhash_hamming, page_difference, projection_forest, repeat_index,
-    spaced_seeds, temperature_mix, token_lengths, url_digests)
+    fuzzy_lines, language_mixture, lexical_search, minhash_hamming, page_difference, projection_forest, repeat_index,
+    shape_crf, spaced_seeds, temperature_mix, token_alignment, token_lengths, url_digests)
 from clickloom.llm.common import table
 
 # The rules of the URL query.
@@ -55,9 +55,22 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.removals(table(spark, sf_dir, "documents"))
 
 
+def op11_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_space_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignments(table(spark, sf_dir, "documents"))
+
+
+def op13_shape_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shape_crf.personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_repeat_index, op2_language_mixture, op3_token_lengths, op4_page_difference, op5_url_digests,
-    op6_projection_forest, op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines)}
+    op6_projection_forest, op7_minhash_hamming, op8_temperature_mix, op9_spaced_seeds, op10_fuzzy_lines,
+    op11_block_max_search, op12_space_anchors, op13_shape_crf)}
 
 
 
@@ -107,6 +120,32 @@ def _mixture_sql(share: float, parts: int, turns: int, block: int) -> str:
 
 
 ORACLES = {
+    "op11_block_max_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL),
+        docs AS (SELECT row, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0),
+        tot AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM docs),
+        post AS (
+            SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+            FROM (SELECT row, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY row, term),
+        df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+        q AS (
+            SELECT item_id, term, count(*) AS repeats
+            FROM (SELECT item_id, unnest(regexp_extract_all(
+                             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))
+            GROUP BY item_id, term),
+        scored AS (
+            SELECT item_id, row, any_value(doc_id) AS doc_id,
+                   sum(repeats * CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1))) AS BIGINT)
+                       * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt))))::BIGINT AS score
+            FROM q JOIN post USING (term) JOIN df USING (term), tot GROUP BY item_id, row)
+        SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+        WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 20""",
     "op8_temperature_mix": _mixture_sql(
         temperature_mix.ENTROPY, temperature_mix.PARTS, temperature_mix.TURNS, temperature_mix.BLOCK_DOCS),
     "op5_url_digests": r"""
