@@ -125,47 +125,45 @@ def _shard(number: int, ids: np.ndarray, data: np.ndarray, ends: np.ndarray) ->
         pa.concat_arrays([pa.nulls(1, pa.binary()), sizes])], ["shard", "term", "n", "postings", "blocks"])
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    number = TaskContext.get().partitionId() << 32
-    held: list[pa.RecordBatch] = []
-    size = 0
-
-    def done():
-        table = pa.Table.from_batches(held).combine_chunks()
-        ids = table.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy()
-        return _shard(number, ids, *utf8(table.column("text")))
-
-    for batch in slices(batches, "text", SHARD):
-        own = len(utf8(batch.column("text"))[0])
-        if held and size + own > SHARD:
-            shard = done()
-            if shard:
-                yield from _cut(shard)
-            number, held, size = number + 1, [], 0
-        held.append(batch)
-        size += own
-    if held:
-        shard = done()
-        if shard:
-            yield from _cut(shard)
-
-
-def _cut(batch: pa.RecordBatch, most: int = 20_000) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, most):
+def _shards(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def done():
+            table = pa.Table.from_batches(held).combine_chunks()
+            ids = table.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy()
+            return _shard(number, ids, *utf8(table.column("text")))
+
+        for batch in slices(batches, "text", most):
+            own = len(utf8(batch.column("text"))[0])
+            if held and size + own > most:
+                yield from _cut(done())
+                number, held, size = number + 1, [], 0
+            held.append(batch)
+            size += own
+        if held:
+            yield from _cut(done())
+    return run
+
+
+def _cut(batch: pa.RecordBatch | None, most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows if batch else 0, most):
         yield batch.slice(start, most)
 
 
-def build_index(docs: DataFrame) -> DataFrame:
+def build_index(docs: DataFrame, shard_bytes: int = SHARD) -> DataFrame:
     """The inverted index of ``docs(doc_id, text)``, written to the shared scratch folder.
 
     Rows without a term, null texts among them, are in no list and in no statistic. A shard is
-    a run of documents of one input partition with about ``SHARD`` bytes of text. Nothing is
+    a run of documents of one input partition with about ``shard_bytes`` of text. Nothing is
     shuffled.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(texts.mapInArrow(_shards, INDEX), "lexical-index")
+    return stored(texts.mapInArrow(_shards(shard_bytes), INDEX), "lexical-index")
 
 
 # --- search ---------------------------------------------------------------------------------

@@ -4,8 +4,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from clickloom.llm import lexical_search
+from clickloom.llm.common import utf8, word_hashes
 from clickloom.llm.lexical_search import build_index, packed, ranked, search, unpacked
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -41,10 +43,7 @@ def test_variable_length_bytes():
 
 
 def test_against_all_scores(spark, monkeypatch):
-    """Several shards, many blocks, strips that know a score to beat; ties, copies and edges."""
-    monkeypatch.setattr(lexical_search, "SHARD", 5_000)
-    monkeypatch.setattr(lexical_search, "BLOCK", 8)
-    monkeypatch.setattr(lexical_search, "STRIP", 32)
+    """Several shards and blocks of items; ties, copies and edges."""
     monkeypatch.setattr(lexical_search, "ITEM_BYTES", 150)
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(60)] + ["É", "Straße", "١"]
@@ -60,13 +59,41 @@ def test_against_all_scores(spark, monkeypatch):
             asked.setdefault(i, Counter()).update(terms(text))
     df = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, score int").repartition(3)
     bench = spark.createDataFrame([(i, t, 2) for i, t in items], "item_id long, text string, doc_id int")
-    index = build_index(df)
+    index = build_index(df, shard_bytes=5_000)
     assert index.where("term is null").count() > 3
     for k in (1, 7, 20):
         got = [tuple(r) for r in search(index, bench, k).collect()]
         assert sorted(got, key=repr) == brute(docs, asked, k)
 
 
+def test_one_shard_of_many_blocks_and_strips(monkeypatch):
+    """Bounds that give up candidates and blocks lose no document."""
+    monkeypatch.setattr(lexical_search, "BLOCK", 8)
+    monkeypatch.setattr(lexical_search, "STRIP", 32)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    weights = [1 / (i + 1) for i in range(400)]
+    docs = [(i, " ".join(rng.choices(vocabulary, weights, k=rng.randrange(1, 80)))) for i in range(2000)]
+    own = [Counter(terms(t)) for _, t in docs]
+    data, ends = utf8(pa.array([t for _, t in docs]))
+    rows = pa.Table.from_batches([lexical_search._shard(0, np.arange(len(docs)), data, ends)])
+    n_terms, df = sum(sum(c.values()) for c in own), Counter(t for c in own for t in c)
+    hashes, _ = word_hashes(*utf8(pa.array(vocabulary)), lexical_search.APART)
+    named = dict(zip(vocabulary, hashes.view(np.int64).tolist()))
+    weight = {named[t]: math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * n + 1))) for t, n in df.items()}
+    opened = total = 0
+    for size in (1, 2, 4, 12):
+        for _ in range(4):
+            asked = Counter(rng.choices(vocabulary, k=size))
+            lists = lexical_search.Lists(rows, weight, len(docs), n_terms)
+            ids, scores = lists.best([(named[t], n) for t, n in asked.items()], 10)
+            found = [(0, n + 1, d, s) for n, (d, s) in enumerate(zip(ids.tolist(), scores.tolist()))]
+            assert sorted(found, key=repr) == brute(docs, {0: asked}, 10)
+            used = [lists.lists[named[t]] for t in asked if named[t] in lists.lists]
+            opened, total = opened + sum(len(x.opened) for x in used), total + sum(len(x.bounds) for x in used)
+    assert opened < 0.8 * total
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
