@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import mixed, slices, stored, utf8
+from clickloom.llm.common import SPACE, mixed, slices, stored, utf8
 
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SLICE = 1 << 20         # bytes of text encoded at once
 MEMO = 200_000          # windows a task remembers before it starts anew
 LONGEST = 64            # tokens of a window that is remembered
-PLAIN_BELOW = "\u0250"   # code points from which on a text is left to the slower encoder
-PLAIN_RUN = 400         # characters without white space, likewise
+PLAIN_BELOW = 0xC9      # UTF-8 bytes, those of U+0240 on, that leave a text to the slower encoder
+PLAIN_RUN = 400         # bytes without white space that do so too
 PAIRS_HELD = 4 << 20    # pair counts a task gathers before it sends their sums
 PAIRS_SENT = 4 << 20    # pair counts that go to the tasks at once, 17 bytes each
 
@@ -107,7 +107,11 @@ def _byte_encoder(byte_level, ranks: dict[bytes, int]):
     by_rank = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(texts: list[str]) -> list[list[int]]:
-        plain = [max(t) < PLAIN_BELOW and max(map(len, t.split()), default=0) <= PLAIN_RUN for t in texts]
+        data, ends = utf8(pa.array(texts, pa.string()))
+        # white space and the ends of texts cut runs; no text is empty here
+        cuts = np.union1d(np.flatnonzero(SPACE[data]), ends)
+        longest = np.maximum.reduceat(np.diff(cuts), np.searchsorted(cuts, ends[:-1]))
+        plain = ((np.maximum.reduceat(data, ends[:-1]) < PLAIN_BELOW) & (longest <= PLAIN_RUN)).tolist()
         others = iter(byte_level.encode_batch(
             [" " + t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
         return [by_rank.encode_ordinary(" " + t) if p else next(others).ids for t, p in zip(texts, plain)]
