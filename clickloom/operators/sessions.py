@@ -21,13 +21,13 @@ from clickloom.schemas import SESSION_GAP_MINUTES
 _EXPAND_BLOCK = 65_536
 
 
-def _slot(ts: Column, gap_seconds: int) -> Column:
+def slot_of(ts: Column, gap_seconds: int) -> Column:
     """First second of the slot that ``ts`` falls into."""
     second = F.unix_timestamp(ts)
     return second - F.pmod(second, F.lit(max(gap_seconds, 1)))
 
 
-def _gap_seconds(gap_minutes: float) -> int:
+def gap_in_seconds(gap_minutes: float) -> int:
     if gap_minutes < 0:
         raise ValueError("the gap must not be negative")
     return int(gap_minutes * 60)
@@ -47,7 +47,7 @@ def _slots_with_starts(df: DataFrame, user: str, ts: str, gap: int) -> tuple[Dat
     Events without a time share the slot ``null``, which sorts first.
     """
     moment = F.col(quoted(ts))
-    slots = df.groupBy(F.col(quoted(user)).alias("_user"), _slot(moment, gap).alias("_slot")).agg(
+    slots = df.groupBy(F.col(quoted(user)).alias("_user"), slot_of(moment, gap).alias("_slot")).agg(
         F.min(moment).alias("_first"), F.max(moment).alias("_last"),
         F.count(F.lit(1)).alias("_rows"))
     timeline = Window.partitionBy("_user").orderBy("_slot")
@@ -68,7 +68,7 @@ def session_table(df: DataFrame, user: str = "anonymousId", ts: str = "timestamp
     the session, null for a user's first.
     """
     kept = _kept(df, user, ts, drop_null_ts, drop_null_user)
-    slots, timeline = _slots_with_starts(kept, user, ts, _gap_seconds(gap_minutes))
+    slots, timeline = _slots_with_starts(kept, user, ts, gap_in_seconds(gap_minutes))
     so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     untimed = F.col("_slot").isNull()
     sessions = slots.filter("_start").select(
@@ -78,7 +78,7 @@ def session_table(df: DataFrame, user: str = "anonymousId", ts: str = "timestamp
         F.lead("_first").over(timeline).alias("next_session_start_at"))
     timed = sessions.filter(~untimed)
     if not drop_null_ts:
-        timed = timed.unionByName(_one_session_per_row(sessions.filter(untimed)))
+        timed = timed.unionByName(one_session_per_row(sessions.filter(untimed)))
     result = timed.select(
         F.concat(F.col("_user").cast("string"), F.lit("-"), F.col("_number").cast("string"))
         .alias("session_id"),
@@ -87,7 +87,7 @@ def session_table(df: DataFrame, user: str = "anonymousId", ts: str = "timestamp
     return result if keep_inactivity else result.drop("inactivity_time")
 
 
-def _one_session_per_row(counted: DataFrame) -> DataFrame:
+def one_session_per_row(counted: DataFrame) -> DataFrame:
     """Turn a row standing for ``_rows`` untimed events into that many sessions.
 
     The rows are made block by block after spreading the blocks over all tasks, so
@@ -118,7 +118,7 @@ def assign_sessions(df: DataFrame, user: str = "anonymousId", ts: str = "timesta
     time are numbered apart, see :func:`number_rows`; that runs one job when called.
     """
     kept = _kept(df, user, ts, drop_null_ts, drop_null_user)
-    gap = _gap_seconds(gap_minutes)
+    gap = gap_in_seconds(gap_minutes)
     slots, timeline = _slots_with_starts(kept, user, ts, gap)
     so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sessions = slots.select(
@@ -129,7 +129,7 @@ def assign_sessions(df: DataFrame, user: str = "anonymousId", ts: str = "timesta
         .alias("session_start_at"))
     moment = F.col(quoted(ts))
     same = F.col(quoted(user)).eqNullSafe(F.col("_user")) & (F.col("_slot") == F.col("_slot_key"))
-    assigned = (kept.filter(moment.isNotNull()).withColumn("_slot", _slot(moment, gap))
+    assigned = (kept.filter(moment.isNotNull()).withColumn("_slot", slot_of(moment, gap))
                 .join(sessions.filter(F.col("_slot_key").isNotNull()), same)
                 .drop("_user", "_slot", "_slot_key"))
     if not drop_null_ts:
