@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.paths import quoted
 from clickloom.functions.report import with_text
+from clickloom.operators.gaps import days_of_ranges, missing_ranges
 from clickloom.schemas import DAY_MS
 
 
@@ -23,26 +23,11 @@ def missing_days(df: DataFrame, keys: Sequence[str] = (), day: str = "day_ms", *
 
     The bounds default to the key's own first and last day; they may be aggregates
     over ``day`` or scalar subqueries, and the days are the midnights within them. A
-    ``day`` that is no midnight is an error. Rows are first reduced to distinct (key, day),
-    so the list gathered per key has one entry per calendar day at most. With given
-    bounds a key without any day lacks them all.
+    ``day`` that is no midnight is an error. The gaps are found as ranges first, see
+    ``missing_ranges``, and dealt out in blocks. With given bounds a key without any
+    day lacks them all.
     """
-    df = df.withColumn(day, F.when(F.col(quoted(day)) % DAY_MS == 0, F.col(quoted(day))).when(
-        F.col(quoted(day)).isNotNull(), F.raise_error(
-            F.concat(F.lit("no midnight: "), F.col(quoted(day)).cast("string"))).cast("bigint")))
-    column = F.col(quoted(day))
-    bounds = [bound if isinstance(bound, Column) else F.lit(bound).cast("bigint")
-              for bound in (F.min(column) if first is None else first,
-                            F.max(column) if last is None else last)]
-    present = df.select(*keys, day).distinct().groupBy(*keys).agg(
-        F.collect_list(column.cast("bigint")).alias("_present"),
-        bounds[0].alias("_low"), bounds[1].alias("_high"))
-    present = present.withColumns({
-        "_first": F.ceil(F.col("_low") / DAY_MS).cast("bigint") * DAY_MS,
-        "_last": F.floor(F.col("_high") / DAY_MS).cast("bigint") * DAY_MS})
-    expected = F.when(F.col("_first") <= F.col("_last"),
-                      F.sequence(F.col("_first"), F.col("_last"), F.lit(DAY_MS)))
-    return present.select(*keys, F.explode(F.array_except(expected, "_present")).alias(day))
+    return days_of_ranges(missing_ranges(df, keys, day, first=first, last=last), keys, day)
 
 
 def day_status(present: DataFrame, day: str = "day_ms", *, first: Column | int | None = None,

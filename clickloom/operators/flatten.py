@@ -19,10 +19,11 @@ def project(df: DataFrame, columns: Iterable[tuple[str, str]]) -> DataFrame:
 
 
 def flatten_event(events: DataFrame, zone: str = LOCAL_ZONE, *, basis: str = "raw",
-                  iso: bool = False, week_key: str = "sunday") -> DataFrame:
-    """Nested events with calendar keys as the 28 flat columns of ``EVENT_COLUMNS``."""
+                  iso: bool = False, week_key: str = "sunday", keep: Iterable[str] = ()) -> DataFrame:
+    """Nested events with calendar keys as the 28 flat columns of ``EVENT_COLUMNS``, and the
+    columns of ``keep`` as they are."""
     dated = with_calendar(events, "timestamp", zone, basis=basis, iso=iso, week_key=week_key)
-    return project(dated, EVENT_COLUMNS)
+    return project(dated, [*EVENT_COLUMNS, *((name, name) for name in keep)])
 
 
 def add_safe_columns(df: DataFrame, columns: Mapping[str, str | tuple[str, str]]) -> DataFrame:
