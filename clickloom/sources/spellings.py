@@ -9,6 +9,8 @@ not lost: the line's text is kept in ``_corrupt_record``.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -29,13 +31,26 @@ def _lines(spark: SparkSession, path) -> DataFrame:
         "value", F.try_parse_json("value").alias("_v"))
 
 
+@contextmanager
+def _case_sensitive(spark: SparkSession) -> Iterator[None]:
+    """Else the merge of two schemas keeps one spelling of a name and drops the others."""
+    setting = "spark.sql.caseSensitive"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def infer_spellings(spark: SparkSession, path) -> T.StructType:
     """All fields of a JSON log in all their spellings; one aggregation over the lines.
 
     Fields of conflicting types are variants. Lines that are no objects have no fields.
     """
-    found = (_lines(spark, path).where(F.schema_of_variant("_v").startswith("OBJECT"))
-             .agg(F.schema_of_variant_agg("_v")).head()[0])
+    with _case_sensitive(spark):
+        found = (_lines(spark, path).where(F.schema_of_variant("_v").startswith("OBJECT"))
+                 .agg(F.schema_of_variant_agg("_v")).head()[0])
     if found in (None, "VOID", "OBJECT<>"):
         return T.StructType()
     ddl = _OBJECT.sub(lambda m: m[1] or "STRUCT<", found)
