@@ -184,14 +184,11 @@ _RECONCILE_EVENTS = _metrics(
         (f"{p}_null_pk_count", "count(*) FILTER (WHERE event_id IS NULL)") for p in ("DL", "DW")],
     "events", line=True)
 
-# One file per source and day, with a line of one byte for each event.
-_SMALL_DAY_FILES = f"""
-    SELECT event_type AS source, {_DAY_MS} AS day_ms, count(*) + 1 AS length FROM events GROUP BY ALL"""
-
 _SESSIONS_30M = _sessions("user_id", "ts", "events", 1800, "user_id")
 
 ORACLES = {
     "sessions_30m": _SESSIONS_30M,
+    "sessions_by_load": _SESSIONS_30M,
     "sessions_6h": _sessions("user_id", "ts", "events", 21600, "user_id"),
     "sessions_of_types": _sessions(
         "event_type", "ts", "events", 300, "event_type", ", idle / 60.0 AS inactivity_time"),
@@ -221,6 +218,12 @@ ORACLES = {
                concat('agent/', user_id % 5) AS user_agent, concat('/', event_type) AS page_url,
                {_hospital('A', 0)} AS hospital_id
         FROM e""",
+    "log_of_spellings": f"""
+        {_WITH_K}
+        SELECT CAST(user_id AS VARCHAR) AS "anonymousId", concat('m-', event_id) AS "messageId",
+               concat('agent/', user_id % 5) AS user_agent, concat('/', event_type) AS page_url,
+               {_hospital('A', 0)} AS hospital_id, CAST(NULL AS VARCHAR) AS corrupt
+        FROM e""",
     "nested_sql_top5": f"""
         {_WITH_K}
         SELECT concat('m-', event_id) AS messageid, CAST(user_id AS VARCHAR) AS anonymousid,
@@ -255,6 +258,13 @@ ORACLES = {
          ("DL_total_row_count", "count(*)"),
          ("DL_null_pk_count", f"count(*) FILTER (WHERE {_K} % 10 = 0)"),
          ("DL_corrupt_count", f"count(*) FILTER (WHERE {_K} % 10 = 0)")], "events"),
+    "rejected_lines": f"""
+        SELECT 'accepted' AS part, concat('m-', event_id) AS content FROM events WHERE {_K} % 10 <> 0
+        UNION ALL
+        SELECT 'rejected', substring(concat('{{"anonymousId":"', user_id, '","context":{{"userAgent":"agent/', user_id % 5), 1, 40)
+        FROM events WHERE {_K} % 10 = 0
+        UNION ALL
+        SELECT 'counted', CAST(count(*) AS VARCHAR) FROM events WHERE {_K} % 10 = 0""",
     "persisted_counts": "SELECT count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM events",
     "compare_users": """
         WITH c AS (SELECT count(*) AS n, count(DISTINCT user_id) AS d FROM events),
@@ -279,23 +289,15 @@ ORACLES = {
                      FROM present),
         users AS (SELECT DISTINCT user_id FROM present)
         SELECT user_id, day_ms FROM users, calendar EXCEPT SELECT user_id, day_ms FROM present""",
-    "day_folder_status": f"""
-        WITH files AS ({_SMALL_DAY_FILES}),
-        days AS (SELECT day_ms, count(*) AS n, round(sum(length) / 1024.0, 2) AS kb FROM files GROUP BY ALL),
-        calendar AS (SELECT unnest(generate_series(min(day_ms), max(day_ms) + 86400000, 86400000))
-                     AS day_ms FROM days),
-        judged AS (
-            SELECT day_ms, coalesce(n, 0) AS n_files, CAST(coalesce(kb, 0) AS DOUBLE) AS size_kb,
-                   CASE WHEN n IS NULL THEN 'empty' ELSE 'loaded' END AS status
-            FROM calendar LEFT JOIN days USING (day_ms))
-        SELECT *, concat(day_ms, ': ', n_files, ' files, ', size_kb, ' KB, ', status) AS line FROM judged""",
-    "inventory_total": f"""
-        SELECT concat('source=', source) AS source, count(*) AS n_files,
-               CAST(round(sum(length) / 1024.0, 2) AS DOUBLE) AS size_kb
-        FROM ({_SMALL_DAY_FILES}) GROUP BY ALL""",
-    "last_day_files": f"""
-        SELECT concat('source=', source, '/day_ms=', day_ms) AS folder, length
-        FROM ({_SMALL_DAY_FILES}) ORDER BY source DESC, day_ms DESC LIMIT 5""",
+    "missing_user_ranges": f"""
+        WITH present AS (SELECT DISTINCT user_id, {_DAY_MS} AS day_ms FROM events),
+        calendar AS (SELECT unnest(generate_series(min(day_ms), max(day_ms), 86400000)) AS day_ms FROM present),
+        absent AS (SELECT user_id, day_ms FROM (SELECT DISTINCT user_id FROM present), calendar
+                   EXCEPT SELECT user_id, day_ms FROM present),
+        islands AS (SELECT *, day_ms - 86400000 * row_number() OVER (PARTITION BY user_id ORDER BY day_ms) AS island
+                    FROM absent)
+        SELECT user_id, min(day_ms) AS first_missing, max(day_ms) AS last_missing, count(*) AS n_days
+        FROM islands GROUP BY user_id, island""",
     "events_of_days": f"""
         SELECT way, concat('m-', event_id) AS "messageId"
         FROM events, (VALUES ('folders'), ('filter')) AS w(way)
@@ -314,6 +316,10 @@ ORACLES = {
                count(DISTINCT event_id) AS n_messages,
                min({_LOCAL}) AS first_local, max({_LOCAL}) AS last_local
         FROM events GROUP BY ALL""",
+    "ingested_file_status": f"""
+        SELECT DISTINCT {_DAY_MS} AS day_ms,
+               CASE WHEN {_DAY_MS} // 86400000 % 2 = 1 THEN 'loaded' ELSE 'new' END AS status
+        FROM events""",
     "stream_user_sessions": """
         WITH marked AS (
             SELECT user_id, ts,

@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from clickloom.functions.calendar import cast_columns, day_ms, with_calendar
 from clickloom.functions.paths import leaf_paths
 from clickloom.functions.report import with_text
+from clickloom.operators.carried import carried_sessions, load_sessions
 from clickloom.operators.days import day_status, missing_days, next_day
 from clickloom.operators.extremes import extremes_report, largest
 from clickloom.operators.flatten import add_safe_columns, event_view, flatten, flatten_event
+from clickloom.operators.gaps import missing_ranges
 from clickloom.operators.reconcile import (
     compare, count_metrics, metric_lines, not_null_count, reconcile, write_reconciled)
 from clickloom.operators.sessions import assign_sessions, session_table
 from clickloom.plans.daily import daily_load
 from clickloom.plans.tables import day_log, event_log, table
-from clickloom.schemas import METRIC_SCHEMA, event_schema
+from clickloom.schemas import CORRUPT, METRIC_SCHEMA, event_schema
 from clickloom.session import scratch_path
 from clickloom.sources.events import (
     day_paths, infer_schema, load_schema, metric_preview, persisted, read_events, read_events_any_case, read_readings,
     save_schema)
 from clickloom.sources.files import (
-    file_inventory, folder_names, folder_volume, last_files, relative_path, volume)
+    day_of, file_inventory, folder_names, folder_volume, last_files, relative_path, volume)
+from clickloom.sources.rejects import read_accepted, read_rejects
+from clickloom.sources.spellings import infer_spellings, read_spelled
 from clickloom.sources.writers import read_back, write_counted, write_table
-from clickloom.streaming.ingest import file_stream, ingest_available, read_ingested
+from clickloom.streaming.ingest import file_stream, ingest_available, ledger_of, read_ingested
+from clickloom.streaming.ledger import file_status, read_ledger
 from clickloom.streaming.sessions import stream_sessions, write_available
 
 # The 28 flat columns without the two retained structs.
@@ -55,17 +60,13 @@ def _day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
     return path
 
 
-def _small_day_folders(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """``source=/day_ms=`` folders with one line for each, as long as its number of events.
-
-    For questions about names and sizes: one row per source and day, not the whole log.
-    """
+def _delivered_twice(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """``events`` in ``source=/day_ms=`` folders, each of which got its events in two deliveries."""
     path = scratch_path(spark, label)
-    events = table(spark, sf_dir, "events")
-    days = events.groupBy(F.col("event_type").alias("source"), day_ms(events, "ts").alias("day_ms")).agg(
-        F.count(F.lit(1)).alias("n"))
-    write_table(days.select("source", "day_ms", F.expr("repeat('x', CAST(n AS INT))").alias("value")), path,
-                "text", partition_by=["source", "day_ms"], rebalance=True)
+    log = day_log(table(spark, sf_dir, "events"))
+    is_even = F.col("anonymousId").cast("bigint") % 2 == 0
+    for delivery in (log.where(is_even), log.where(~is_even)):
+        write_table(delivery, path, "json", mode="append", partition_by=["source", "day_ms"], rebalance=True)
     return path
 
 
@@ -96,6 +97,18 @@ def sessions_from_log(spark, sf_dir):
     return session_table(flatten_event(raw), "anonymousId", "timestamp", gap_minutes=360)
 
 
+def sessions_by_load(spark, sf_dir):
+    """Sessions of ``events`` that arrive in loads of eight days, the second load after the third."""
+    root = scratch_path(spark, "carried")
+    events = table(spark, sf_dir, "events")
+    events = events.select("user_id", "ts", (day_ms(events, "ts") / (8 * 86_400_000)).cast("bigint").alias("load"))
+    first, last = events.agg(F.min("load"), F.max("load")).head()
+    numbers = list(range(first, last + 1))
+    for number in numbers[:1] + numbers[2:3] + numbers[1:2] + numbers[3:]:
+        load_sessions(events.where(F.col("load") == number), root, str(number), "user_id", "ts")
+    return carried_sessions(spark, root)
+
+
 # -- calendar ---------------------------------------------------------------
 
 
@@ -186,6 +199,21 @@ def case_tolerant_log(spark, sf_dir):
         F.get("properties.action.hospital", F.lit(0)).alias("hospital_id"))
 
 
+def log_of_spellings(spark, sf_dir):
+    """A log whose keys come in three spellings, by user, read by what inference finds."""
+    path = scratch_path(spark, "spellings")
+    text = F.to_json(F.struct("*"))
+    log = event_log(table(spark, sf_dir, "events"))
+    spelled = F.col("anonymousId").cast("bigint") % 3
+    lowered = F.replace(F.replace(text, F.lit('"anonymousId"'), F.lit('"anonymousid"')), F.lit('"userAgent"'), F.lit('"useragent"'))
+    raised = F.replace(F.replace(text, F.lit('"anonymousId"'), F.lit('"AnonymousID"')), F.lit('"context"'), F.lit('"Context"'))
+    write_table(log.select(F.when(spelled == 0, lowered).when(spelled == 1, raised).otherwise(text).alias("value")), path, "text")
+    return read_spelled(spark, path, infer_spellings(spark, path), event_schema(corrupt=False)).select(
+        "anonymousId", "messageId", F.col("context.userAgent").alias("user_agent"),
+        F.col("context.page.url").alias("page_url"),
+        F.get("properties.action.hospital", F.lit(0)).alias("hospital_id"), F.col(CORRUPT).alias("corrupt"))
+
+
 def nested_sql_top5(spark, sf_dir):
     view = event_view(event_log(table(spark, sf_dir, "events")), "clickloom_events")
     return spark.sql(f"""
@@ -259,6 +287,21 @@ def malformed_lines(spark, sf_dir):
     return count_metrics(read_events(spark, path, event_schema(corrupt=True)), "messageId", "DL", extra=True)
 
 
+def rejected_lines(spark, sf_dir):
+    """Good rows and malformed lines of a log in which every event with ``k`` a multiple of 10 is cut off."""
+    source, target, metrics = (scratch_path(spark, f"rejects-{part}") for part in ("in", "out", "metrics"))
+    text = F.to_json(F.struct("*"))
+    broken = F.col("hospitalId").cast("bigint") % 10 == 0
+    log = event_log(table(spark, sf_dir, "events"))
+    write_table(log.select(F.when(broken, F.substring(text, 1, 40)).otherwise(text).alias("value")), source, "text")
+    counted = daily_load(spark, source, target, metrics, fmt="parquet", rejects=True)
+    schema = flatten_event(spark.createDataFrame([], event_schema())).schema
+    good, bad = read_accepted(spark, target, schema), read_rejects(spark, target)
+    n_corrupt = counted.where("metric = 'DL_corrupt_count'").select(F.lit("counted").alias("part"), F.col("value").cast("string").alias("content"))
+    return (good.select(F.lit("accepted").alias("part"), F.col("messageId").alias("content"))
+            .unionByName(bad.select(F.lit("rejected").alias("part"), F.col("text").alias("content"))).unionByName(n_corrupt))
+
+
 def persisted_counts(spark, sf_dir):
     """Two actions over one parsed log: its lines and its users."""
     with persisted(read_events(spark, _json_log(spark, sf_dir, "persisted"))) as log:
@@ -321,31 +364,39 @@ def missing_user_days(spark, sf_dir):
     return missing_days(days, ["user_id"], first=first, last=last)
 
 
+def missing_user_ranges(spark, sf_dir):
+    """Runs of days without an event, for each user, from the first to the last day of all."""
+    events = table(spark, sf_dir, "events")
+    days = events.select("user_id", day_ms(events, "ts").alias("day_ms"))
+    first, last = (days.agg(edge("day_ms")).scalar() for edge in (F.min, F.max))
+    return missing_ranges(days, ["user_id"], first=first, last=last)
+
+
 def day_folder_status(spark, sf_dir):
     """Status of every day from the first folder to one day past the last."""
-    root = _small_day_folders(spark, sf_dir, "status")
-    folders = folder_volume(file_inventory(spark, root, "*.txt", hidden=False), root, level=2)
+    root = _delivered_twice(spark, sf_dir, "status")
+    folders = folder_volume(file_inventory(spark, root, "*.json", hidden=False), root, level=2)
     return day_status(folders, last=next_day(F.max("day_ms")))
 
 
 def event_folder_names(spark, sf_dir):
-    root = _small_day_folders(spark, sf_dir, "folders")
-    files = file_inventory(spark, root, "*.txt", hidden=False)
+    root = _delivered_twice(spark, sf_dir, "folders")
+    files = file_inventory(spark, root, "*.json", hidden=False)
     levels = [folder_names(files, root, n).select(F.lit(n).alias("level"), "folder") for n in (1, 2)]
     return levels[0].unionByName(levels[1])
 
 
 def inventory_total(spark, sf_dir):
     """Files and kilobytes of the day folders of each source."""
-    root = _small_day_folders(spark, sf_dir, "total")
-    files = file_inventory(spark, root, "*.txt", hidden=False)
+    root = _delivered_twice(spark, sf_dir, "total")
+    files = file_inventory(spark, root, "*.json", hidden=False)
     return volume(files.withColumn("source", F.split(relative_path(root), "/")[0]), "source")
 
 
 def last_day_files(spark, sf_dir):
     """Folder and size of the five last files by path."""
-    root = _small_day_folders(spark, sf_dir, "last")
-    files = last_files(file_inventory(spark, root, "*.txt", hidden=False))
+    root = _delivered_twice(spark, sf_dir, "last")
+    files = last_files(file_inventory(spark, root, "*.json", hidden=False))
     return files.select(F.regexp_extract(relative_path(root), "^(.*)/", 1).alias("folder"), "length")
 
 
@@ -392,6 +443,20 @@ def ingest_daily_stream(spark, sf_dir):
         F.min("timestamp").alias("first_local"), F.max("timestamp").alias("last_local"))
 
 
+def ingested_file_status(spark, sf_dir):
+    """Odd days are loaded, even days delivered after it: what the ledger says of each day's files."""
+    source, target, metrics, checkpoint = (
+        scratch_path(spark, f"status-{part}") for part in ("in", "out", "metrics", "state"))
+    log = day_log(table(spark, sf_dir, "events"))
+    is_odd = F.col("day_ms") / 86_400_000 % 2 == 1
+    write_table(log.where(is_odd), source, "json", mode="append", partition_by=["source", "day_ms"], rebalance=True)
+    ingest_available(spark, f"{source}/*/*", target, metrics, checkpoint)
+    write_table(log.where(~is_odd), source, "json", mode="append", partition_by=["source", "day_ms"], rebalance=True)
+    files = file_inventory(spark, source, "*.json", hidden=False)
+    known = file_status(files, read_ledger(spark, ledger_of(target)))
+    return known.select(day_of(F.regexp_extract("path", "/(day_ms=[0-9]+)/", 1)).alias("day_ms"), "status").distinct()
+
+
 def stream_user_sessions(spark, sf_dir):
     """``events`` as a stream; a later delivery of one far-future event closes the rest."""
     source, target, checkpoint = (
@@ -408,15 +473,16 @@ def stream_user_sessions(spark, sf_dir):
 
 
 QUERIES = {query.__name__: query for query in (
-    sessions_30m, sessions_6h, sessions_of_types, sessions_all_events, sessions_from_log,
+    sessions_30m, sessions_6h, sessions_of_types, sessions_all_events, sessions_from_log, sessions_by_load,
     calendar_keys, calendar_keys_iso_local, calendar_keys_orders,
     flatten_events, safe_columns, array_elements, auto_flatten, inferred_log, case_tolerant_log,
+    log_of_spellings,
     nested_sql_top5, not_null_hospitals,
     largest_order, extremes_of_lines, extremes_from_csv,
-    reconcile_events, reconcile_sessions, malformed_lines, persisted_counts, compare_users,
+    reconcile_events, reconcile_sessions, malformed_lines, rejected_lines, persisted_counts, compare_users,
     daily_load_metrics,
     csv_roundtrip, gzip_json_roundtrip, distinct_types,
-    day_volume, missing_user_days, day_folder_status, event_folder_names, inventory_total,
+    day_volume, missing_user_days, missing_user_ranges, day_folder_status, event_folder_names, inventory_total,
     last_day_files, events_of_days, metric_file_preview,
-    ingest_daily_stream, stream_user_sessions,
+    ingest_daily_stream, ingested_file_status, stream_user_sessions,
 )}
