@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import slices, stored, utf8, word_hashes
 
-SHARD = 16 << 20        # bytes of text of a shard; a longer text is a shard of its own
+SHARD = 8 << 20         # bytes of text of a shard; a longer text is a shard of its own
 BLOCK = 128             # postings
 STRIP = 4096            # documents of a shard that are scored at once, fewer at its begin
 ITEM_BYTES = 4 << 20    # bytes of item text that go to the tasks at once
