@@ -186,7 +186,48 @@ _RECONCILE_EVENTS = _metrics(
 
 _SESSIONS_30M = _sessions("user_id", "ts", "events", 1800, "user_id")
 
+_EVENT_HOSPITAL_ROWS = f"""
+    {_WITH_K},
+    parts AS (SELECT * FROM (VALUES ('action', 'A'), ('button', 'B')) AS t(name, prefix)),
+    places AS (SELECT * FROM (VALUES (0), (1)) AS t(position))
+    SELECT concat('properties.', name, '.hospital[]') AS part, concat('m-', event_id) AS "messageId",
+           CAST(position AS BIGINT) AS position,
+           CASE WHEN position = 0 THEN CAST(k AS VARCHAR) ELSE concat(prefix, k) END AS value
+    FROM e, parts, places WHERE k % 3 = 0 OR k % 3 = 1 AND position = 0"""
+
+_LINES_OF_NESTED_ORDERS = """
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+           row_number() OVER (PARTITION BY l_orderkey
+                              ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS at
+    FROM lineitem"""
+
+_COMPARE_EVENT_CONTENTS = f"""
+    {_WITH_K}
+    SELECT concat('m-', event_id) AS key, CASE WHEN k % 97 = 0 THEN 'missing' ELSE 'changed' END AS status,
+           CAST(1 AS BIGINT) AS n_source, CAST(CASE WHEN k % 97 = 0 THEN 0 ELSE 1 END AS BIGINT) AS n_target
+    FROM e WHERE k % 97 = 0 OR k % 89 = 1
+    UNION ALL
+    SELECT concat('x-m-', event_id), 'extra', CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM e WHERE k % 83 = 2"""
+
+_DAILY_METRICS_HISTORY = """
+    WITH daily AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS value FROM events GROUP BY ALL),
+    seen AS (
+        SELECT *, lag(value) OVER w AS previous_value, CAST(day - lag(day) OVER w AS INTEGER) AS days_since,
+               CAST(median(value) OVER f AS DOUBLE) AS usual_value, count(value) OVER f AS n_usual
+        FROM daily
+        WINDOW w AS (PARTITION BY event_type ORDER BY day),
+               f AS (PARTITION BY event_type ORDER BY day
+                     RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+    SELECT *, CASE WHEN days_since IS NULL THEN 'first' WHEN days_since > 1 THEN 'after gap'
+                   WHEN n_usual < 3 THEN 'new' WHEN value < usual_value * 0.75 THEN 'low'
+                   WHEN value > usual_value * 1.25 THEN 'high' ELSE 'usual' END AS status
+    FROM seen"""
+
 ORACLES = {
+    "event_hospital_rows": _EVENT_HOSPITAL_ROWS,
+    "lines_of_nested_orders": _LINES_OF_NESTED_ORDERS,
+    "compare_event_contents": _COMPARE_EVENT_CONTENTS,
+    "daily_metrics_history": _DAILY_METRICS_HISTORY,
     "sessions_30m": _SESSIONS_30M,
     "sessions_by_load": _SESSIONS_30M,
     "sessions_6h": _sessions("user_id", "ts", "events", 21600, "user_id"),

@@ -9,10 +9,13 @@ from clickloom.functions.calendar import cast_columns, day_ms, with_calendar
 from clickloom.functions.paths import leaf_paths
 from clickloom.functions.report import with_text
 from clickloom.operators.carried import carried_sessions, load_sessions
+from clickloom.operators.children import child_tables
+from clickloom.operators.contents import compare_contents
 from clickloom.operators.days import day_status, missing_days, next_day
 from clickloom.operators.extremes import extremes_report, largest
 from clickloom.operators.flatten import add_safe_columns, event_view, flatten, flatten_event
 from clickloom.operators.gaps import missing_ranges
+from clickloom.operators.history import against_history
 from clickloom.operators.reconcile import (
     compare, count_metrics, metric_lines, not_null_count, reconcile, write_reconciled)
 from clickloom.operators.sessions import assign_sessions, session_table
@@ -214,6 +217,24 @@ def log_of_spellings(spark, sf_dir):
         F.get("properties.action.hospital", F.lit(0)).alias("hospital_id"), F.col(CORRUPT).alias("corrupt"))
 
 
+def event_hospital_rows(spark, sf_dir):
+    """The elements of both hospital arrays of the log as child tables of its events."""
+    tables = child_tables(event_log(table(spark, sf_dir, "events")), "messageId")
+    parts = [tables[name].select(F.lit(name).alias("part"), F.col("row_key").alias("messageId"),
+                                 F.get("at", F.lit(0)).cast("bigint").alias("position"), "value")
+             for name in ("properties.action.hospital[]", "properties.button.hospital[]")]
+    return parts[0].unionByName(parts[1])
+
+
+def lines_of_nested_orders(spark, sf_dir):
+    """Orders that hold their lines as an array of structs, taken apart into lines again."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    nested = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+              .agg(F.sort_array(F.collect_list(line)).alias("lines")))
+    lines = child_tables(nested, "l_orderkey")["lines[]"]
+    return lines.withColumnRenamed("row_key", "l_orderkey").withColumn("at", F.get("at", F.lit(0)).cast("bigint"))
+
+
 def nested_sql_top5(spark, sf_dir):
     view = event_view(event_log(table(spark, sf_dir, "events")), "clickloom_events")
     return spark.sql(f"""
@@ -319,6 +340,26 @@ def compare_users(spark, sf_dir):
         "rows_seen_by_write", F.lit(counted).cast("bigint"))
 
 
+def compare_event_contents(spark, sf_dir):
+    """Keys that differ between the log and a written copy in which some events were dropped,
+    changed or added."""
+    path = scratch_path(spark, "contents")
+    flat = flatten_event(event_log(table(spark, sf_dir, "events")))
+    k = F.col("properties_properties_hospitalid").cast("bigint")
+    event = F.when(k % 89 == 1, F.concat("event", F.lit("!"))).otherwise(F.col("event"))
+    kept = flat.where(k % 97 != 0).withColumn("event", event)
+    added = flat.where(k % 83 == 2).withColumn("messageId", F.concat(F.lit("x-"), "messageId"))
+    write_table(kept.unionByName(added), path)
+    return compare_contents(flat, read_back(spark, path, flat.schema, "parquet"), "messageId")
+
+
+def daily_metrics_history(spark, sf_dir):
+    """Events of each type and day against the seven days before."""
+    daily = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("value"))
+    return against_history(daily, ["event_type"], share=0.25)
+
+
 def daily_load_metrics(spark, sf_dir):
     root = _day_folders(spark, sf_dir, "daily-in")
     return daily_load(spark, root, scratch_path(spark, "daily-out"),
@@ -476,11 +517,11 @@ QUERIES = {query.__name__: query for query in (
     sessions_30m, sessions_6h, sessions_of_types, sessions_all_events, sessions_from_log, sessions_by_load,
     calendar_keys, calendar_keys_iso_local, calendar_keys_orders,
     flatten_events, safe_columns, array_elements, auto_flatten, inferred_log, case_tolerant_log,
-    log_of_spellings,
+    log_of_spellings, event_hospital_rows, lines_of_nested_orders,
     nested_sql_top5, not_null_hospitals,
     largest_order, extremes_of_lines, extremes_from_csv,
     reconcile_events, reconcile_sessions, malformed_lines, rejected_lines, persisted_counts, compare_users,
-    daily_load_metrics,
+    compare_event_contents, daily_load_metrics, daily_metrics_history,
     csv_roundtrip, gzip_json_roundtrip, distinct_types,
     day_volume, missing_user_days, missing_user_ranges, day_folder_status, event_folder_names, inventory_total,
     last_day_files, events_of_days, metric_file_preview,

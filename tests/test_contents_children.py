@@ -1,0 +1,144 @@
+"""Contents of two tables, tables of nested records, metrics against their past."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.operators.children import child_tables
+from clickloom.operators.contents import compare_contents, differing_buckets
+from clickloom.operators.history import against_history
+
+ROWS = "id long, a string, b string, l array<string>, m map<string,int>, s struct<x:int,y:int>"
+
+
+def found(source, target, **options):
+    return sorted(map(tuple, compare_contents(source, target, "id", **options).collect()), key=str)
+
+
+def test_contents_equal_whatever_the_order(spark):
+    rows = [(1, "a", None, ["x", None], {"p": 1, "q": 2}, (1, None)), (1, "a", None, ["x", None], {"p": 1, "q": 2}, (1, None)),
+            (None, None, None, None, None, None), (2, "", "b", [], {}, None)]
+    turned = [(i, a, b, l, dict(reversed(m.items())) if m else m, s) for i, a, b, l, m, s in reversed(rows)]
+    source, target = spark.createDataFrame(rows, ROWS), spark.createDataFrame(turned, ROWS)
+    assert found(source, target.select(*reversed(target.columns))) == []
+    assert found(source.limit(0), target.limit(0)) == []
+
+
+@pytest.mark.parametrize("before, after", [
+    ((1, "a", None, None, None, None), (1, None, "a", None, None, None)),
+    ((1, None, None, ["x", None], None, None), (1, None, None, [None, "x"], None, None)),
+    ((1, None, None, [], None, None), (1, None, None, None, None, None)),
+    ((1, None, None, None, {"p": None}, None), (1, None, None, None, {}, None)),
+    ((1, None, None, None, None, (1, None)), (1, None, None, None, None, (None, 1))),
+    ((1, None, None, None, None, None), (1, None, None, None, None, (None, None))),
+    ((1, "", None, None, None, None), (1, None, None, None, None, None)),
+])
+def test_every_kind_of_change_is_seen(spark, before, after):
+    source, target = (spark.createDataFrame([row], ROWS) for row in (before, after))
+    assert found(source, target) == [(1, "changed", 1, 1)]
+
+
+def test_contents_against_brute_force(spark):
+    rng = random.Random(7)
+    sides = [[(rng.randrange(40) or None, rng.choice("ab")) for _ in range(120)] for _ in range(2)]
+    wanted = []
+    for key in {k for side in sides for k, _ in side}:
+        bags = [sorted(v for k, v in side if k == key) for side in sides]
+        if bags[0] != bags[1]:
+            status = "missing" if not bags[1] else "extra" if not bags[0] else "changed"
+            wanted.append((key, status, len(bags[0]), len(bags[1])))
+    source, target = (spark.createDataFrame(side, "id long, v string") for side in sides)
+    assert found(source, target) == found(source, target, buckets=1) == sorted(wanted, key=str)
+
+
+def test_one_change_among_many(spark):
+    source = spark.range(200_000).select("id", (F.col("id") % 13).alias("v"))
+    target = source.withColumn("v", F.when(F.col("id") == 777, 99).otherwise(F.col("v")))
+    assert found(source, target) == [(777, "changed", 1, 1)]
+    assert differing_buckets(source, target, "id").count() == 1
+
+
+def test_contents_need_equal_columns(spark):
+    source = spark.createDataFrame([(1, "a")], "id long, a string")
+    for schema in ("id long, b string", "id int, a string"):
+        with pytest.raises(ValueError):
+            compare_contents(source, spark.createDataFrame([], schema), "id")
+
+
+NESTED = ("id long, n struct<x:int, tags:array<string>>, "
+          "lines array<struct<part:int, marks:array<struct<w:string>>>>, props map<string,struct<v:int>>, grid array<array<int>>")
+RECORDS = [
+    (1, (5, ["a", None]), [(1, [("u",), ("v",)]), (2, None), (3, [])], {"k": (1,), "l": (2,)}, [[1, 2], [], None, [3]]),
+    (2, None, [], {}, []),
+    (3, (None, None), None, None, None),
+    (None, (6, ["z"]), [(None, [None])], None, None),
+]
+
+
+def test_child_tables_hold_every_value(spark):
+    tables = child_tables(spark.createDataFrame(RECORDS, NESTED), "id")
+    got = {name: sorted((tuple(r) for r in t.collect()), key=str) for name, t in tables.items()}
+    assert tables[""].columns == ["row_key", "at", "id", "n_x", "n_tags_size", "lines_size", "props_size", "grid_size"]
+    assert got[""] == sorted([
+        (1, [], 1, 5, 2, 3, 2, 4), (2, [], 2, None, None, 0, 0, 0),
+        (3, [], 3, None, None, None, None, None), (None, [], None, 6, 1, 1, None, None)], key=str)
+    assert got["n.tags[]"] == sorted([(1, [0], "a"), (1, [1], None), (None, [0], "z")], key=str)
+    assert got["lines[]"] == sorted([(1, [0], 1, 2), (1, [1], 2, None), (1, [2], 3, 0), (None, [0], None, 1)], key=str)
+    assert got["lines[].marks[]"] == sorted([(1, [0, 0], "u"), (1, [0, 1], "v"), (None, [0, 0], None)], key=str)
+    assert sorted(r[2:] for r in got["props{}"]) == [("k", 1), ("l", 2)]
+    assert sorted(r[1] for r in got["props{}"]) == [[0], [1]]
+    assert got["grid[]"] == [(1, [0], 2), (1, [1], 0), (1, [2], None), (1, [3], 1)]
+    assert got["grid[][]"] == [(1, [0, 0], 1), (1, [0, 1], 2), (1, [3, 0], 3)]
+
+
+def test_children_join_back_to_the_records(spark):
+    df = spark.createDataFrame(RECORDS, NESTED)
+    tables = child_tables(df, "id")
+    parent = F.slice("at", 1, F.size("at") - 1)
+    marks = (tables["lines[].marks[]"].groupBy("row_key", parent.alias("at"))
+             .agg(F.sort_array(F.collect_list(F.struct(F.get("at", F.lit(1)).alias("p"), "w"))).alias("own")))
+    lines = tables["lines[]"].join(marks, ["row_key", "at"], "left").withColumn(
+        "marks", F.when(F.col("marks_size").isNotNull(), F.coalesce("own.w", F.array().cast("array<string>"))))
+    whole = (lines.groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct(F.get("at", F.lit(0)).alias("p"), "part", "marks"))).alias("own")))
+    back = tables[""].join(whole, "row_key", "left").where("row_key is not null")
+    got = {r.id: None if r.lines_size is None else [(x.part, x.marks) for x in r.own or []] for r in back.collect()}
+    wanted = {r[0]: r[2] and [(p, m and [w for (w,) in m]) for p, m in r[2]] for r in RECORDS if r[0]}
+    assert got == wanted
+
+
+def test_child_tables_of_nothing_and_clashing_names(spark):
+    empty = child_tables(spark.createDataFrame([], NESTED), "id")
+    assert all(t.count() == 0 for t in empty.values())
+    df = spark.createDataFrame([(1, 2, [3])], "id int, `at` int, l array<int>")
+    with pytest.raises(ValueError):
+        child_tables(df, "id")
+    assert [tuple(r) for r in child_tables(df, "id", at_name="place")["l[]"].collect()] == [(1, [0], 3)]
+
+
+def test_child_tables_do_not_shuffle(spark):
+    plan = child_tables(spark.createDataFrame(RECORDS, NESTED), "id")["lines[].marks[]"]
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_against_brute_force(spark):
+    rng = random.Random(3)
+    start = dt.date(2024, 2, 20)
+    rows = [(m, start + dt.timedelta(days=d), rng.choice([None, 1, 10, 11, 12, 40]))
+            for m in ("x", "y", None) for d in range(40) if rng.random() < 0.8]
+    wanted = {}
+    for m, day, v in rows:
+        past = [(d, w) for n, d, w in rows if n == m and d < day]
+        near = sorted(w for d, w in past if w is not None and (day - d).days <= 7)
+        usual = (near[(len(near) - 1) // 2] + near[len(near) // 2]) / 2 if near else None
+        since = (day - max(d for d, _ in past)).days if past else None
+        status = ("no value" if v is None else "first" if not past else "after gap" if since > 1
+                  else "new" if len(near) < 3 else "low" if v < usual / 2 else "high" if v > usual * 1.5 else "usual")
+        previous = next((w for d, w in past if (day - d).days == since), None)
+        wanted[m, day] = (v, previous, since, usual, len(near), status)
+    df = spark.createDataFrame([*rows, ("x", None, 5)], "metric string, day date, value long")
+    got = {(r.metric, r.day): tuple(r)[2:] for r in against_history(df, ["metric"]).collect()}
+    assert got == wanted
+    assert {s for *_, s in wanted.values()} == {"no value", "first", "after gap", "new", "low", "high", "usual"}
+    assert against_history(df.limit(0), ["metric"]).count() == 0
