@@ -5,6 +5,10 @@ count, so a replaced word spoils only the seeds that look at it. Seeds of the be
 are kept sorted and probed with those of every document. Each hit fixes an alignment of
 item and document, in which the segment with the best score (one for an equal word, less
 two for another) is the verified overlap.
+
+Items of fewer than 15 words have masks as long as themselves: two that count every other
+word, so that one of them misses a replaced word wherever it is, or from 7 words down a
+single one that counts them all.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from clickloom.llm.common import mixed, slices, utf8, word_hashes
 # The masks; 1 marks a position that counts.
 MASKS = ("111010110101", "110110011011", "101101101011")
 SPAN = 12
-SHORTEST = 8        # words of an item that can be told at all
+SHORT = 15          # items of fewer words are looked for as wholes
+WHOLE = 8           # items of fewer words must match in every word, those up to SHORT in all but one
 SCORE = 10          # least score of an overlap
-MATCHED = 13        # least number of equal words, or all words of a shorter item
+MATCHED = 13        # least number of equal words
 PENALTY = 2
 BLOCK_BYTES = 8 << 20  # benchmark text that goes to the tasks at once
 
@@ -37,34 +42,37 @@ def _places(at: np.ndarray, span: int) -> np.ndarray:
 
 
 def _seeds(words: np.ndarray, places: np.ndarray, mask: str) -> np.ndarray:
-    value = np.full(len(places), int(mask, 2), np.uint64)
+    value = np.full(len(places), int("1" + mask, 2), np.uint64)
     for k, used in enumerate(mask):
         if used == "1":
             value = mixed(value) + words[places + k]
     return mixed(value)
 
 
-def _masks(shorter: tuple[int, ...]) -> list[str]:
-    return [*MASKS, *("1" * n for n in shorter)]
+def own_masks(size: int) -> tuple[str, ...]:
+    """The masks of a short item of ``size`` words."""
+    return ("1" * size,) if size < WHOLE else (("10" * size)[:size], ("01" * size)[:size])
 
 
 class Benchmark:
-    """Seeds and words of some items. Items with fewer words than a mask have one full seed."""
+    """Seeds and words of some items."""
 
     def __init__(self, ids: list[int], texts: list[str]):
         column = pa.array(texts, pa.string())
         self.ids = np.array(ids, np.int64)
         self.words, self.at = word_hashes(*utf8(column), APART)
         counts = np.diff(self.at)
-        self.shorter = tuple(np.unique(counts[(counts >= SHORTEST) & (counts < SPAN)]).tolist())
-        seeds, places = [], []
-        for mask in _masks(self.shorter):
-            own = _places(self.at, len(mask))
-            if len(mask) < SPAN:
-                own = self.at[:-1][counts == len(mask)]
-            seeds.append(_seeds(self.words, own, mask))
-            places.append(own)
-        seeds, places = np.concatenate(seeds), np.concatenate(places)
+        short = np.unique(counts[(counts > 0) & (counts < SHORT)]).tolist()
+        long = np.repeat(counts >= SHORT, np.maximum(counts - SPAN + 1, 0))
+        self.masks, seeds, places = [], [], []
+        for mask, own in [*((mask, _places(self.at, SPAN)[long]) for mask in MASKS),
+                          *((mask, self.at[:-1][counts == n]) for n in short for mask in own_masks(n))]:
+            if len(own):
+                self.masks.append(mask)
+                seeds.append(_seeds(self.words, own, mask))
+                places.append(own)
+        seeds = np.concatenate([np.zeros(0, np.uint64), *seeds])
+        places = np.concatenate([np.zeros(0, np.int64), *places])
         order = np.argsort(seeds, kind="stable")
         self.seeds, self.places = seeds[order], places[order]
         self.item = np.searchsorted(self.at, self.places, "right") - 1
@@ -74,7 +82,7 @@ class Benchmark:
     def overlaps(self, words: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Row, item, first and last word in the row, equal words; the best of each row and item."""
         found: set[tuple[int, int, int]] = set()
-        for mask in _masks(self.shorter):
+        for mask in self.masks:
             places = _places(at, len(mask))
             seeds = _seeds(words, places, mask)
             maybe = np.flatnonzero(self.sieve[seeds >> np.uint64(44)])
@@ -82,6 +90,9 @@ class Benchmark:
             high = np.searchsorted(self.seeds, seeds[maybe], "right")
             hit = np.flatnonzero(low < high)
             row = np.searchsorted(at, places[maybe[hit]], "right") - 1
+            if "0" not in mask:  # a hit is the whole item: its first place in a row will do
+                first = np.unique(np.stack([row, low[hit]]), axis=1, return_index=True)[1]
+                hit, row = hit[first], row[first]
             for i, r in zip(hit, row):
                 for k in range(low[i], high[i]):
                     found.add((int(r), int(self.item[k]), int(places[maybe[i]] - self.places[k])))
@@ -97,13 +108,18 @@ class Benchmark:
         begin = max(int(self.at[item]), int(at[row]) - shift)
         end = min(int(self.at[item + 1]), int(at[row + 1]) - shift)
         same = words[begin + shift:end + shift] == self.words[begin:end]
+        size = int(self.at[item + 1] - self.at[item])
+        if size < SHORT:
+            matched, first = int(same.sum()), begin + shift - int(at[row])
+            if end - begin < size or matched < size - (size >= WHOLE):
+                return None
+            return matched, matched - PENALTY * (size - matched), first, first + size - 1
         total = np.cumsum(np.append(0, np.where(same, 1, -PENALTY)))
         lowest = np.minimum.accumulate(total)
-        stop = int(np.argmax(total - lowest))
+        stop = len(total) - 1 - int(np.argmax((total - lowest)[::-1]))  # of equal scores the longest segment
         start = int(np.argmin(total[:stop + 1]))
         matched, score = int(same[start:stop].sum()), int(total[stop] - total[start])
-        size = int(self.at[item + 1] - self.at[item])
-        if matched < min(MATCHED, size) or score < min(SCORE, size):
+        if matched < MATCHED or score < SCORE:
             return None
         first = begin + shift + start - int(at[row])
         return matched, score, first, first + stop - start - 1
@@ -114,8 +130,10 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     ``docs(doc_id, text)`` and each item of ``items(item_id, text)`` that it holds.
 
     A document holds an item if an alignment has a segment with at least 13 equal words
-    and a score of 10, or all words of an item of 8 to 12 words; shorter items are not
-    looked for. Words are runs of ASCII letters and digits and non-ASCII bytes, in lower
+    and a score of 10. An item of 8 to 14 words is held if as many neighbouring words are
+    equal to it but for one at most, a shorter one if they are equal throughout, even where
+    it is one frequent word: leave such items out of ``items`` if they mean nothing. An item
+    without words is nowhere. Words are runs of ASCII letters and digits and non-ASCII bytes, in lower
     case. Of several alignments the longest is given. Items and documents that are null or
     empty hold nothing; repeated rows repeat their results; rows without ``doc_id`` are
     judged too and keep the null.

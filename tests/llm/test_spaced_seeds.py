@@ -1,7 +1,7 @@
 import random
 import re
 
-from clickloom.llm.spaced_seeds import MASKS, SPAN, clean, overlaps
+from clickloom.llm.spaced_seeds import MASKS, clean, overlaps
 
 
 def words(text):
@@ -9,16 +9,23 @@ def words(text):
 
 
 def brute(docs, items):
-    """All alignments that share a seed, by slicing."""
-    seeds = {}
+    """All alignments that share a seed, by slicing; items under 15 words at every place."""
+    seeds, short = {}, []
     for i, item in items:
         v = words(item)
-        for m in (MASKS if len(v) >= SPAN else ["1" * len(v)] if len(v) >= 8 else []):
+        if len(v) < 15:
+            short.append((i, v))
+            continue
+        for m in MASKS:
             for q in range(len(v) - len(m) + 1):
                 seeds.setdefault((m, *(v[q + k] for k in range(len(m)) if m[k] == "1")), []).append((i, q, v))
     out = set()
     for d, text in docs:
         w = words(text)
+        for i, v in short:
+            needed = len(v) if len(v) < 8 else len(v) - 1
+            if v and any(sum(x == y for x, y in zip(w[s:s + len(v)], v)) >= needed for s in range(len(w) - len(v) + 1)):
+                out.add((d, i))
         for m in {key[0] for key in seeds}:
             for p in range(len(w) - len(m) + 1):
                 for i, q, v in seeds.get((m, *(w[p + k] for k in range(len(m)) if m[k] == "1")), []):
@@ -26,7 +33,7 @@ def brute(docs, items):
                     same = [w[s + k] == v[k] for k in range(len(v)) if 0 <= s + k < len(w)]
                     best = max(((sum(same[a:b]) - 2 * (b - a - sum(same[a:b])), sum(same[a:b]))
                                 for a in range(len(same)) for b in range(a + 1, len(same) + 1)))
-                    if best[1] >= min(13, len(v)) and best[0] >= min(10, len(v)):
+                    if best[1] >= 13 and best[0] >= 10:
                         out.add((d, i))
     return out
 
@@ -34,7 +41,8 @@ def brute(docs, items):
 def test_edges_against_brute_force(spark):
     rng = random.Random(4)
     vocabulary = ["the", "of", "and", "é1", "to"] + [f"v{i}" for i in range(40)]
-    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([15, 20, 30, 12, 9, 8, 5, 1, 0])]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(n))) for i, n in enumerate([15, 20, 30, 14, 13, 12, 9, 8, 7, 5, 0])]
+    items.append((40, "v39"))
     items += [(50, None), (51, "")]
     docs = [(0, None), (1, ""), (2, "...")]
     for k in range(120):
@@ -56,6 +64,20 @@ def test_edges_against_brute_force(spark):
     assert clean(df, bench).columns == df.columns
 
 
+def test_short_items_with_a_replaced_word(spark):
+    for size in range(1, 15):
+        item = [f"w{i}" for i in range(size)]
+        texts = [["a"] * 3 + item[:p] + ["x"] + item[p + 1:] + ["b"] for p in range(size)]
+        texts += [item, item[1:], item[:-1], ["w0", "x", *item[1:]]]
+        docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+        bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+        got = sorted(tuple(r) for r in overlaps(docs, bench).collect())
+        replaced = [(d, 1, 3, 2 + size, size - 1) for d in range(size)] if size >= 8 else []
+        # a word put in behind the first leaves a window with one word replaced only for these two
+        put_in = [(size + 3, 1, 0, 0, 1)] if size == 1 else [(size + 3, 1, 1, size, size - 1)] if size >= 8 else []
+        assert got == [*replaced, (size, 1, 0, size - 1, size), *put_in], size
+
+
 def test_empty_tables_and_repeated_rows(spark):
     item = " ".join(f"w{i}" for i in range(20))
     df = spark.createDataFrame([(1, item), (1, item), (None, item)], "doc_id long, text string")
