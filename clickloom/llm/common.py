@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -75,21 +75,22 @@ BLOCK_ITEMS = 1 << 16
 
 
 def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: int = 2,
-           native: bool = False) -> DataFrame:
+           expand: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]] | None = None) -> DataFrame:
     """``(id, component)`` of the ids that are linked to another one.
 
     Ids that share a key are linked if 100 * common >= ``percent`` * all elements of their
     two sets. ``keys(key, id)`` comes from :func:`shared_keys`; ``sets(id, items)`` holds
-    arrays of distinct longs, with ``native`` also ``marks``: ids share a key only if they
-    share three marks, or all if they have fewer.
+    arrays of distinct longs. With ``expand``, ``sets(id, items, n)`` holds what it makes
+    them of, such as texts, and their sizes: sets larger than their texts are not moved.
 
     Each round compares one member of each key with those members that are not yet in its
     component. Keys whose members are then still apart are settled in full: their members
     outside the largest component of a cluster are compared with all its members, block by
     block: each pair of blocks is one small group of its own, and no pair becomes a row
-    unless it is a link. ``native`` does this without Python.
+    unless it is a link.
     """
-    sizes = sets.select("id", F.size("items").alias("n"))
+    sets = sets if expand else sets.withColumn("n", F.size("items"))
+    sizes = sets.select("id", "n")
     links, groups = None, None
     for turn in range(rounds + 1):
         here = keys.withColumn("component", F.col("id")) if groups is None else keys.join(
@@ -103,14 +104,17 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
             still = stored(here.join(leads.select("key", "lead"), "key"), label)
             if still.isEmpty():
                 break
-            found = _settled(still, sets, percent, label, native)
+            found = _settled(still, sets, percent, label, expand)
         else:
             pairs = (apart.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
                      .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
                      .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
             items = sets.select("id", "items")
-            found = (pairs.join(items.toDF("a", "sa"), "a").join(items.toDF("b", "sb"), "b")
-                     .where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b"))
+            found = pairs.join(items.toDF("a", "sa"), "a").join(items.toDF("b", "sb"), "b")
+            if expand:
+                found = found.mapInArrow(_alike_pairs(expand, percent), "a long, b long")
+            else:
+                found = found.where(_alike(F.col("sa"), F.col("sb"), percent)).select("a", "b")
         found = stored(found, label)
         if groups is not None and found.isEmpty():
             continue
@@ -124,14 +128,36 @@ def _alike(x, y, percent: int):
     return 100 * common >= percent * (F.size(x) + F.size(y) - common)
 
 
-def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str, native: bool) -> DataFrame:
+def _alike_pairs(expand, percent: int):
+    """Keeps the pairs ``(a, b)`` whose sets, made of ``sa`` and ``sb``, are alike."""
+    def run(batches):
+        for batch in batches:
+            both = pa.concat_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("sa", "sb")])
+            known = both.dictionary_encode()
+            values, at = expand(known.dictionary)
+            place = known.indices.to_numpy().reshape(2, -1)
+            size = np.diff(at)[place]
+            marks = []
+            for own, n in zip(place, size):
+                pair = np.repeat(np.arange(len(own), dtype=np.uint64), n)
+                within = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+                marks.append((pair, values[np.repeat(at[:-1][own], n) + within] + mixed(pair)))
+            (_, x), (pair, y) = marks
+            x = np.append(np.sort(x), np.uint64(0))
+            hit = x[np.searchsorted(x[:-1], y)] == y
+            common = np.bincount(pair[hit].astype(np.int64), minlength=batch.num_rows)
+            alike = pa.array(100 * common >= percent * (size.sum(axis=0) - common))
+            yield batch.select(["a", "b"]).filter(alike)
+    return run
+
+
+def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str, expand) -> DataFrame:
     """Links across components of ``still(key, id, component, lead)``, from outside the
     largest component of each cluster of keys; at least one for each linked component."""
     clusters = components(still.select(F.col("id").alias("a"), F.col("lead").alias("b")), label)
     members = stored(
         still.select("id", "component").distinct()
-        .join(clusters.withColumnRenamed("component", "cluster"), "id").join(sets, "id")
-        .withColumn("n", F.size("items")), label)
+        .join(clusters.withColumnRenamed("component", "cluster"), "id").join(sets, "id"), label)
     parts = members.groupBy("cluster", "component").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
     totals = parts.groupBy("cluster").agg(
         F.max_by("component", "members").alias("largest"), F.max_by("n", "members").alias("n_largest"), F.sum("n").alias("n_all"))
@@ -142,19 +168,17 @@ def _settled(still: DataFrame, sets: DataFrame, percent: int, label: str, native
         {"block": F.pmod(F.xxhash64("id"), "blocks"), "row": F.pmod(F.xxhash64("id", F.lit(1)), "outer")})
     outside = members.where("component <> largest").withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    if native:
-        return _settled_in_sql(outside, members, percent)
     other = members.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outer") - 1)))
     place, columns = ["cluster", "block", "row"], ["cluster", "block", "row", "id", "component", "n", "items"]
     return (outside.select(columns).groupBy(*place).cogroup(other.select(columns).toDF(*columns).groupBy(*place))
-            .applyInPandas(lambda x, y: _links_of_blocks(x, y, percent), "a long, b long"))
+            .applyInPandas(lambda x, y: _links_of_blocks(x, y, percent, expand), "a long, b long"))
 
 
-def _links_of_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _links_of_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int, expand=None) -> pd.DataFrame:
     """Links from each row of ``x`` to each other component in ``y``, one of each."""
     if not len(x) or not len(y):
         return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-    vx, vy = (np.concatenate(f["items"].to_numpy()) for f in (x, y))
+    vx, vy = (expand(pa.array(f["items"]))[0] if expand else np.concatenate(f["items"].to_numpy()) for f in (x, y))
     both = np.intersect1d(vx, vy)
     common = np.zeros((len(x), len(y)), np.float32)
     for start in range(0, len(both), 2048):
@@ -174,24 +198,6 @@ def _links_of_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataF
     return found.drop_duplicates(["a", "to"])[["a", "b"]]
 
 
-def _settled_in_sql(outside: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """As above: each block is folded into one row, which the members meet one at a time."""
-    folded = members.groupBy("cluster", "block").agg(
-        F.collect_list(F.struct("id", "component", "n", "items", "marks")).alias("others"))
-
-    def linked_to(other):
-        return ((other["component"] != F.col("component"))
-                & (100 * F.least(other["n"], F.col("n")) >= percent * F.greatest(other["n"], F.col("n")))
-                & (F.size(F.array_intersect(other["marks"], F.col("marks"))) >= F.least(F.lit(3), F.size("marks")))
-                & _alike(other["items"], F.col("items"), percent))
-
-    met = outside.join(folded, ["cluster", "block"]).select(
-        F.col("id").alias("a"),
-        # a component is named by one of its ids, so that is the link to all of it
-        F.array_distinct(F.transform(F.filter("others", linked_to), lambda o: o["component"])).alias("to"))
-    return met.where(F.size("to") > 0).select("a", F.explode("to").alias("b"))
-
-
 # --- texts as byte arrays -------------------------------------------------------------
 
 
