@@ -80,8 +80,9 @@ def linked(keys: DataFrame, sets: DataFrame, percent: int, label: str, rounds: i
 
     Ids that share a key are linked if 100 * common >= ``percent`` * all elements of their
     two sets. ``keys(key, id)`` comes from :func:`shared_keys`; ``sets(id, items)`` holds
-    arrays of distinct longs. With ``expand``, ``sets(id, items, n)`` holds what it makes
-    them of, such as texts, and their sizes: sets larger than their texts are not moved.
+    arrays of distinct longs. With ``expand``, ``sets(id, items, n)`` holds texts and the sizes
+    of their sets, which ``expand`` makes: for an array of texts, ascending distinct values
+    under 2 ** 44 of each, and where each begins. Sets larger than their texts are not moved.
 
     Each round compares one member of each key with those members that are not yet in its
     component. Keys whose members are then still apart are settled in full: their members
@@ -131,23 +132,18 @@ def _alike(x, y, percent: int):
 def _alike_pairs(expand, percent: int):
     """Keeps the pairs ``(a, b)`` whose sets, made of ``sa`` and ``sb``, are alike."""
     def run(batches):
-        for batch in batches:
-            both = pa.concat_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("sa", "sb")])
-            known = both.dictionary_encode()
+        for batch in slices(batches, "sa", 1 << 20):
+            known = pa.concat_arrays([batch.column(batch.schema.get_field_index(c)) for c in ("sa", "sb")]).dictionary_encode()
             values, at = expand(known.dictionary)
-            place = known.indices.to_numpy().reshape(2, -1)
+            place = known.indices.to_numpy().astype(np.int64)
             size = np.diff(at)[place]
-            marks = []
-            for own, n in zip(place, size):
-                pair = np.repeat(np.arange(len(own), dtype=np.uint64), n)
-                within = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
-                marks.append((pair, values[np.repeat(at[:-1][own], n) + within] + mixed(pair)))
-            (_, x), (pair, y) = marks
-            x = np.append(np.sort(x), np.uint64(0))
-            hit = x[np.searchsorted(x[:-1], y)] == y
-            common = np.bincount(pair[hit].astype(np.int64), minlength=batch.num_rows)
-            alike = pa.array(100 * common >= percent * (size.sum(axis=0) - common))
-            yield batch.select(["a", "b"]).filter(alike)
+            pair = np.repeat(np.tile(np.arange(batch.num_rows, dtype=np.uint64), 2), size)
+            within = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
+            marks = np.sort((pair << np.uint64(44)) | values[np.repeat(at[:-1][place], size) + within])
+            twice = marks[1:][marks[1:] == marks[:-1]] >> np.uint64(44)
+            common = np.bincount(twice.astype(np.int64), minlength=batch.num_rows)
+            total = size.reshape(2, -1).sum(axis=0) - common
+            yield batch.select(["a", "b"]).filter(pa.array(100 * common >= percent * total))
     return run
 
 
