@@ -35,7 +35,7 @@ PAIRS_SENT = 4 << 20    # pair counts that go to the tasks at once, 17 bytes eac
 
 PLAIN = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 ALIGNED = ("row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-           "a binary, b binary, pair long, n long")
+           "links binary, times binary, pair long, n long")
 
 
 def vocabulary(name: str, path: str | None = None) -> bytes:
@@ -306,13 +306,15 @@ def _aligned_rows(a_file, b_file):
         for batch in slices(batches, "text", SLICE):
             (a_ids, a_at), (b_ids, b_at) = encoded(batch.column("text").to_pylist(), a, b)
             entries, row_at = aligner.windows(a_ids, a_at, b_ids, b_at)
-            held.append(_counted(aligner.pairs.of(entries)))
+            links, times, links_at = _row_pairs(aligner, entries, row_at)
+            pair, back = np.unique(links, return_inverse=True)
+            held.append((pair, np.bincount(back, times, len(pair)).astype(np.int64)))
             n_held += len(held[-1][0])
             digests = [hashlib.sha256(t).hexdigest() if t else "" for t in aligner.row_texts(entries, row_at)]
             yield _batch(batch.num_rows, doc_id=batch.column("doc_id"), n_a=np.diff(a_at), n_b=np.diff(b_at),
                          n_groups=_per_row(aligner.groups.values[entries], row_at),
                          n_links=_per_row(aligner.pairs.size[entries], row_at),
-                         groups_sha256=digests, a=_binary(a_ids, a_at), b=_binary(b_ids, b_at))
+                         groups_sha256=digests, links=_binary(links, links_at), times=_binary(times, links_at))
             if n_held > PAIRS_HELD:
                 pair, n = _summed(held)
                 held, n_held = [], 0
@@ -323,9 +325,15 @@ def _aligned_rows(a_file, b_file):
     return run
 
 
-def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    pair, n = np.unique(pairs, return_counts=True)
-    return pair, n
+def _row_pairs(aligner: Aligner, entries: np.ndarray, row_at: np.ndarray):
+    """The different linked id pairs of each row, how many links of the row hold each, and
+    where each row's pairs begin."""
+    rows = len(row_at) - 1
+    size = aligner.pairs.size[entries]
+    row = np.repeat(np.repeat(np.arange(rows, dtype=np.int64), np.diff(row_at)), size)
+    every = np.int64(len(aligner.a.size) * len(aligner.b.size))
+    key, times = np.unique(row * every + aligner.pairs.of(entries), return_counts=True)
+    return key % every, times.astype(np.int32), np.searchsorted(key // every, np.arange(rows + 1))
 
 
 def _per_row(values: np.ndarray, row_at: np.ndarray) -> np.ndarray:
@@ -346,35 +354,29 @@ def _binary(ids: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 def _batch(rows: int, **columns) -> pa.RecordBatch:
-    kinds = {"groups_sha256": pa.string(), "a": pa.binary(), "b": pa.binary()}
+    kinds = {"groups_sha256": pa.string(), "links": pa.binary(), "times": pa.binary()}
     names = [c.split()[0] for c in ALIGNED.split(", ")]
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[c], kinds.get(c, pa.int64())) if c in columns and not isinstance(columns[c], pa.Array)
          else columns[c] if c in columns else pa.nulls(rows, kinds.get(c, pa.int64())) for c in names], names)
 
 
-def _pair_sums(a_file, b_file, sums):
-    """For each row of ids: links whose pair is in ``sums``: the best ones and the sum of counts."""
+def _pair_sums(sums):
+    """For each row of link pairs: links whose pair is in ``sums``: the best ones and the sum
+    of counts."""
     def run(batches):
-        a, b = sides(a_file.value, b_file.value)
-        aligner = Aligner(a, b, texts=False)
         known, count, best = sums.value
-        for batch in slices(batches, "a", 4 << 20):
-            found = []
-            for name, side in (("a", a), ("b", b)):
-                data, ends = utf8(batch.column(name))
-                found += [np.frombuffer(data.tobytes(), side.kind), ends // np.dtype(side.kind).itemsize]
-            entries, row_at = aligner.windows(*found)
-            used, which = np.unique(entries, return_inverse=True)
-            pair = aligner.pairs.of(used)
+        for batch in slices(batches, "links", 4 << 20):
+            data, ends = utf8(batch.column("links"))
+            pair, row_at = np.frombuffer(data.tobytes(), np.int64), ends // 8
+            times = np.frombuffer(utf8(batch.column("times"))[0].tobytes(), np.int32).astype(np.int64)
             at = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
             hit = known[at] == pair if len(known) else np.zeros(len(pair), bool)
-            pair_at = np.concatenate([[0], np.cumsum(aligner.pairs.size[used])])
             columns = [batch.column(c) for c in ("row", *PLAIN)]
             for values in (best, count):
                 own = np.zeros(len(pair), np.int64)
-                own[hit] = values[at[hit]]
-                columns.append(pa.array(_per_row(_per_row(own, pair_at)[which], row_at), pa.int64()))
+                own[hit] = values[at[hit]].astype(np.int64) * times[hit]
+                columns.append(pa.array(_per_row(own, row_at), pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, ["row", *PLAIN, "n_best", "count_sum"])
     return run
 
@@ -392,7 +394,8 @@ def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None =
     rows are rows like others; other columns are ignored; an empty table gives no row.
 
     The vocabulary files (about 2 MB, of fixed size) go to all tasks; a task encodes about 1 MB
-    of text at once, or one longer text. Texts are encoded once and kept as ids. Pair counts
+    of text at once, or one longer text. Texts are encoded and aligned once; each row keeps its
+    different linked id pairs and how often it links each. Pair counts
     are summed in the tasks first. They go out again in blocks of ``PAIRS_SENT`` pairs, each
     one pass over the ids, so their number needs no bound.
     """
@@ -408,15 +411,15 @@ def alignments(docs: DataFrame, a_path: str | None = None, b_path: str | None =
         both.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("n"))
         .withColumn("b_id", F.col("pair") % n_b)
         .select("pair", "n", (F.col("n") == F.max("n").over(of_b)).alias("best")), "alignment-pairs")
-    rows = both.where("pair is null").select("row", *PLAIN, "a", "b")
-    schema = rows.drop("a", "b").schema.add("n_best", "long").add("count_sum", "long")
+    rows = both.where("pair is null").select("row", *PLAIN, "links", "times")
+    schema = rows.drop("links", "times").schema.add("n_best", "long").add("count_sum", "long")
     blocks = max(1, -(-pairs.count() // PAIRS_SENT))
     result = None
     for block in range(blocks):
         part = pairs.where(F.pmod(F.xxhash64("pair"), F.lit(blocks)) == block).sort("pair").toArrow()
         sent = spark.sparkContext.broadcast(tuple(
             part.column(c).to_numpy().astype(k) for c, k in (("pair", np.int64), ("n", np.int64), ("best", np.bool_))))
-        found = rows.mapInArrow(_pair_sums(a_file, b_file, sent), schema)
+        found = rows.mapInArrow(_pair_sums(sent), schema)
         result = found if result is None else result.unionByName(found)
     if blocks > 1:
         result = result.groupBy("row", *PLAIN).agg(

@@ -92,3 +92,21 @@ def test_given_texts(spark):
 
 def test_empty_table(spark):
     assert alignments(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_pair_sums_from_stored_pairs_alone():
+    """The second pass sums from each row's pairs and their repeats; it needs no vocabulary."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    links = [np.array([3, 7, 9], np.int64), np.array([], np.int64), np.array([7], np.int64)]
+    times = [np.array([2, 1, 4], np.int32), np.array([], np.int32), np.array([5], np.int32)]
+    binary = lambda xs: pa.array([x.tobytes() for x in xs], pa.binary())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 1, 2], pa.int64()), *[pa.array([1, 2, 3], pa.int64()) for _ in range(5)],
+         pa.array(["", "", ""]), binary(links), binary(times)],
+        ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links", "times"])
+    sums = SimpleNamespace(value=(np.array([3, 7], np.int64), np.array([10, 20], np.int64), np.array([True, False])))
+    out = pa.Table.from_batches(list(token_alignment._pair_sums(sums)([batch])))
+    assert out.column("n_best").to_pylist() == [2, 0, 0]
+    assert out.column("count_sum").to_pylist() == [2 * 10 + 20, 0, 5 * 20]
