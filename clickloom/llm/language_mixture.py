@@ -175,8 +175,9 @@ def identify(docs: DataFrame) -> DataFrame:
     return predicted.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "langs")
 
 
-def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is not ``und``, with all their columns.
+def accepted(docs: DataFrame, wanted: list[str] | None = None, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` whose language, as in :func:`predict`, is one of ``wanted`` (None: any
+    but ``und``) with a score of at least ``least``, with all their columns.
 
     Fitted on ``docs`` itself, as in :func:`identify`; nothing is shuffled.
     """
@@ -184,7 +185,12 @@ def accepted(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast((languages, tables))
 
     def run(batches):
+        names, logs = model.value
+        good = np.array([wanted is None or name in wanted for name in names] or [False])
         for batch in slices(batches, "text", PIECE):
-            yield batch.filter(pa.array(_judge(*model.value, batch.column("text"))[1]))
+            shares, known = _judge(names, logs, batch.column("text"))
+            top = shares.argmax(axis=1)
+            score = np.clip(shares[np.arange(len(top)), top], 0, 1)
+            yield batch.filter(pa.array(known & good[top] & (score >= least)))
 
     return docs.mapInArrow(run, docs.schema)

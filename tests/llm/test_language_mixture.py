@@ -44,3 +44,16 @@ def test_nothing_to_learn_from(spark):
     assert [(r.lang_pred, r.score) for r in identify(df).collect()] == [("und", 0.0)]
     assert identify(df.limit(0)).count() == 0
     assert predict(df.limit(0), [], __import__("numpy").zeros((1, 0))).count() == 0
+
+
+def test_accepted_rows_follow_the_judged_language_and_score(spark, monkeypatch):
+    df = made(spark)
+    judged = {r.doc_id: r for r in identify(df).collect()}
+    for wanted, least in ((["de"], 0.0), (["en"], 0.9), (["fr"], 0.0), (None, 0.95)):
+        got = {r.doc_id for r in accepted(df, wanted, least).collect()}
+        assert got == {d for d, r in judged.items()
+                       if r.lang_pred != "und" and (wanted is None or r.lang_pred in wanted) and r.score >= least}
+    import corpus_pipeline
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ["de"])
+    got = {r.doc_id for r in corpus_pipeline.language(spark, df, "").collect()}
+    assert got == {d for d, r in judged.items() if r.lang_pred == "de"} and 1001 not in got and 0 in got and 1 not in got
